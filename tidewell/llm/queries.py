@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .bpe import op8
 from .decontaminate import OP1_SQL, op1
+from .tokenfile import op2
 
-QUERIES = {"op1_decontaminate": op1}
+QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op8_bpe": op8}
 SQL = {"op1_decontaminate": OP1_SQL}
