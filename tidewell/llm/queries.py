@@ -5,7 +5,9 @@ from __future__ import annotations
 from .bpe import op8
 from .decontaminate import OP1_SQL, op1
 from .fingerprint import op10
+from .langid import op5
+from .quality import op9
 from .tokenfile import op2
 
-QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op8_bpe": op8, "op10_syncmers": op10}
+QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op5_language": op5, "op8_bpe": op8, "op9_quality": op9, "op10_syncmers": op10}
 SQL = {"op1_decontaminate": OP1_SQL}
