@@ -1,0 +1,113 @@
+"""Operator 4 and the linking it shares: brute force over all pairs, signature statistics, edge cases."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from tests.llm.conftest import DATA, documents
+from tidewell.llm import linking
+from tidewell.llm.linking import components, link
+from tidewell.llm.neardup import drop_near_duplicates, group_documents, op4, signatures
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def multiset(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def brute_groups(rows):
+    """doc ids -> frozenset of the positions of its group."""
+    sets = [multiset(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    by_shingle, by_text = {}, {}
+    for i, s in enumerate(sets):
+        for g in s:
+            by_shingle.setdefault(g, []).append(i)
+        by_text.setdefault(rows[i][1] or "", []).append(i)
+    pairs = {(a, b) for g in by_shingle.values() for a in g for b in g if a < b} | {(g[0], b) for g in by_text.values() for b in g[1:]}
+    for a, b in pairs:
+        both = sum((sets[a] & sets[b]).values())
+        if rows[a][1] == rows[b][1] or (rows[a][1] or "") == (rows[b][1] or "") or both >= 0.8 * sum((sets[a] | sets[b]).values()) and both:
+            parent[find(a)] = find(b)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(rows[i][0])
+    return sorted(tuple(sorted(g, key=str)) for g in groups.values())
+
+
+def grouped(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r.class_id, []).append(r.doc_id)
+    return sorted(tuple(sorted(g, key=str)) for g in out.values())
+
+
+def test_op4_equals_brute_force(spark):
+    folder = f"{DATA}/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = op4(spark, folder).collect()
+    assert grouped(got) == brute_groups(rows)
+    sizes = Counter(r.class_id for r in got)
+    assert all(r.class_size == sizes[r.class_id] for r in got)
+
+
+def near_copies(n, words, changes, seed):
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(words)]
+    out = [" ".join(base)]
+    for _ in range(n - 1):
+        copy = list(base)
+        for _ in range(changes):
+            copy[rnd.randrange(words)] = f"v{rnd.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_large_groups_whose_copies_differ_more_among_themselves(spark, tables):
+    texts = near_copies(60, 250, 5, 1) + near_copies(40, 40, 1, 2) + ["w " * 500 + "a b c d e", "w " * 470 + "a b c d e", "w " * 250]
+    given = documents(spark, texts)
+    assert grouped(op4(spark, tables(documents=given)).collect()) == brute_groups(list(enumerate(texts)))
+
+
+def test_signatures_agree_as_weighted_jaccard():
+    rng = np.random.default_rng(5)
+    element = np.concatenate([np.arange(40), np.arange(40)]).astype(np.uint64)
+    weight = np.concatenate([rng.integers(1, 60, 40), rng.integers(1, 60, 40)])
+    row = np.repeat([0, 1], 40)
+    got = [np.mean(np.equal(*signatures(row, element + np.uint64(1000 * t), weight, 2))) for t in range(120)]
+    want = np.minimum(weight[:40], weight[40:]).sum() / np.maximum(weight[:40], weight[40:]).sum()
+    assert abs(np.mean(got) - want) < 4 * np.sqrt(want * (1 - want) / 63 / 120)
+    assert (signatures(row, element, weight, 3)[2] == np.uint64(2**64 - 1)).all()
+
+
+def test_edge_cases_and_one_of_each_group_stays(spark, tables):
+    texts = [(0, None), (1, ""), (2, "!!"), (3, "a b"), (4, "A b"), (5, "a b"), (5, "a b"), (None, "z y x"), (7, "big " * 60000), (8, "big " * 59000), (9, "alone")]
+    given = documents(spark, texts).selectExpr("*", "1 as node", "2 as label", "3 as bucket")
+    got = {r.doc_id: r.class_id for r in op4(spark, tables(documents=given)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 3, None: None, 7: 7, 8: 7, 9: 9}
+    kept = drop_near_duplicates(given)
+    assert kept.columns == given.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, [0, 2, 3, 7, 9, None]))
+    twice = documents(spark, [(1, "a b"), (1, "a b"), (2, "c")])
+    assert sorted(r.doc_id for r in drop_near_duplicates(twice).collect()) == [1, 2]
+    assert group_documents(given.limit(0)).count() == 0
+
+
+def test_linking_finds_chains_within_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(linking, "FEW", 0)
+    rnd = random.Random(2)
+    values = list(range(0, 8)) + list(range(200, 203)) + [500]
+    rnd.shuffle(values)
+    members = spark.createDataFrame([(1, v) for v in values] + [(2, 5), (2, 500), (3, 7)], "bucket bigint, node bigint")
+    labels = components(link(members, lambda p: p.where("b - a <= 1"))).collect()
+    got = {r.node: r.label for r in labels}
+    assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}

@@ -6,9 +6,10 @@ from .bpe import op8
 from .decontaminate import OP1_SQL, op1
 from .fingerprint import op10
 from .langid import op5
+from .neardup import op4
 from .quality import op9
 from .tokencount import op7
 from .tokenfile import op2
 
-QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op5_language": op5, "op7_token_counts": op7, "op8_bpe": op8, "op9_quality": op9, "op10_syncmers": op10}
+QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op4_near_duplicates": op4, "op5_language": op5, "op7_token_counts": op7, "op8_bpe": op8, "op9_quality": op9, "op10_syncmers": op10}
 SQL = {"op1_decontaminate": OP1_SQL}
