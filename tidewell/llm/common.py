@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows an Arrow batch holds at most; texts can be long.
@@ -61,13 +61,14 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
+def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS, cost: Column | None = None) -> DataFrame:
     """Joins on a key of which big may hold very many equal rows.
 
-    small is counted: up to ``limit`` rows it is broadcast, beyond that big is salted by its rows and
-    small repeated once a salt, so that no key's rows meet in one task. Inner and semi joins only.
+    small is measured, in rows or in the sum of ``cost``: up to ``limit`` it is broadcast, beyond that big is salted by
+    its rows and small repeated once a salt, so that no key's rows meet in one task. For inner, left, semi and anti joins.
     """
-    if small.limit(limit + 1).count() <= limit:
+    size = small.limit(limit + 1).count() if cost is None else small.agg(F.sum(cost)).first()[0] or 0
+    if size <= limit:
         return big.join(F.broadcast(small), on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
