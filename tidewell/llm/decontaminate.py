@@ -174,3 +174,11 @@ ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS i
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents in which no window occurs, with their columns."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    judged = decontaminate(documents.select(digest.alias("doc_id"), "text"), benchmark, window)
+    found = durable(judged.where("contaminated").select(F.col("doc_id").alias("_digest")).distinct(), "contaminated")
+    return sized_join(documents.withColumn("_digest", digest), found, "_digest", "left_anti").select(*documents.columns)
