@@ -9,8 +9,9 @@ from .langid import op5
 from .linededup import op6
 from .neardup import op4
 from .quality import op9
+from .substrings import op3
 from .tokencount import op7
 from .tokenfile import op2
 
-QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op4_near_duplicates": op4, "op5_language": op5, "op6_fuzzy_lines": op6, "op7_token_counts": op7, "op8_bpe": op8, "op9_quality": op9, "op10_syncmers": op10}
+QUERIES = {"op1_decontaminate": op1, "op2_token_file": op2, "op3_substrings": op3, "op4_near_duplicates": op4, "op5_language": op5, "op6_fuzzy_lines": op6, "op7_token_counts": op7, "op8_bpe": op8, "op9_quality": op9, "op10_syncmers": op10}
 SQL = {"op1_decontaminate": OP1_SQL}
