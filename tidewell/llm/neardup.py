@@ -166,6 +166,28 @@ def _similar(batch: pa.RecordBatch, least: float):
     yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
 
+def _shared(batches):
+    """How many keys of each node other nodes have too; all rows of a key are in one partition, in its order."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        key = table.column("key").to_numpy()
+        last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
+        held = table.slice(last)
+        if last:
+            yield _count_shared(table.slice(0, last))
+    if held is not None and held.num_rows:
+        yield _count_shared(held)
+
+
+def _count_shared(table: pa.Table) -> pa.RecordBatch:
+    key = table.column("key").to_numpy()
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    n = np.diff(np.append(first, len(key)))
+    nodes = table.column("node").combine_chunks().take(pa.array(np.flatnonzero(np.repeat(n, n) > 1))).value_counts()
+    return pa.RecordBatch.from_arrays([nodes.field("values"), nodes.field("counts")], ["node", "shared"])
+
+
 def text_nodes(documents: DataFrame) -> DataFrame:
     """documents with ``node``, the MD5 of the text, null as empty."""
     return documents.withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
@@ -177,14 +199,28 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
     texts = text_nodes(documents.select("text"))
     members = map_arrow(texts, lambda b: _buckets(b, k), "bucket bigint, node binary").distinct()
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = durable(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), "wanted")
+    def multisets(wanted: DataFrame) -> DataFrame:
+        wanted = durable(wanted.distinct(), "wanted")
         own = sized_join(texts, wanted, "node", "left_semi").dropDuplicates(["node"]).select("text", "node")
-        sets = durable(map_arrow(own, lambda b: _multisets(b, k), "node binary, keys array<bigint>"), "multisets")
+        return durable(map_arrow(own, lambda b: _multisets(b, k), "node binary, keys array<bigint>"), "multisets")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        sets = multisets(pairs.select("a").union(pairs.select("b")).toDF("node"))
         sides = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
         return map_arrow(sides, lambda b: _similar(b, least), "a binary, b binary")
 
-    return components(link(durable(members, "bands"), verify))
+    def prune(rows: DataFrame) -> DataFrame:
+        # two texts share no more than what either shares with any; the rest of both is in the union
+        sets = multisets(rows.select("node"))
+        keys = sets.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
+        shared = keys.mapInArrow(_shared, "node binary, shared bigint").groupBy("node").agg(F.sum("shared").alias("c"))
+        known = durable(sets.select("node", F.size("keys").alias("n")).join(shared, "node").where(F.col("c") >= F.lit(least - 1e-9) * F.col("n")), "shares")
+        sized = durable(rows.join(known, "node"), "members")
+        smallest = sized.groupBy("bucket").agg(F.min("n").alias("s"))
+        union = F.col("n") + F.greatest("c", "s") - F.col("c")
+        return sized_join(sized, smallest, "bucket").where(F.col("c") >= F.lit(least - 1e-9) * union).select("bucket", "node", "rank")
+
+    return components(link(durable(members, "bands"), verify, prune))
 
 
 def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
