@@ -13,13 +13,14 @@ How it runs
   3. Only these get their bytes, from the documents' one shuffle. Units round a syncmer that more than
      ``HOT`` different units share are cut into their single strings, keyed by their own hashes, so that a frequent
      syncmer spreads over all tasks; equal ones of a task are combined first.
-  4. The units of a few syncmers make a collection that is cut into shards. Each shard's suffixes are sorted once
+  4. All strings of a unit hold its syncmer, which becomes one symbol: a string then has 45 symbols.
+     The units of a few syncmers make a collection that is cut into shards. Each shard's suffixes are sorted once
      into its Burrows-Wheeler transform. The transforms are merged by refining their interleave: each pass deals the
      suffixes out, in the order so far, by the symbol before them, and a suffix starts a new block where its symbol or the block it
      came from changes. After as many passes as the strings are long, suffixes in a block share that many bytes:
      blocks of several are the repeated intervals. No suffix is sorted again.
   5. The strings of a block but the first, and the units that go, cover the bytes that go.
-Units are compared by 64-bit hashes within a syncmer; the merged transforms compare bytes.
+Syncmers, and equal units of one syncmer, are told by 64-bit hashes; the merged transforms compare the bytes round it.
 
 Edge cases: null is the empty text; texts under 100 bytes lose nothing. If ids repeat, are null or are not whole
 numbers, documents are ordered by id, null last, and text digest; rows of equal id and text are one document
@@ -45,13 +46,16 @@ HOT = 4096
 #: Units that a task holds before it combines and sends them.
 FLUSH = 1 << 19
 #: Bytes of units that are merged at a time; whole syncmers are kept together.
-COLLECTION = 3 << 19
+COLLECTION = 1 << 20
 SHARDS = 8
+#: Symbols of a string of ``LENGTH`` bytes whose syncmer is one symbol, a byte that UTF-8 never has.
+DEPTH = LENGTH - K + 1
+MARK = b"\xff"
 _CONTENT = seeded(256, 53)
 
 
-def units(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start in it, number of strings, hash of the syncmer, hash of the bytes) of each unit."""
+def units(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, start in it, number of strings, place of the syncmer, its hash, hash of the bytes) of each unit."""
     at = syncmers(raw, offsets, K, S)
     row = np.searchsorted(offsets, at, "right") - 1
     begin, end = offsets[row], offsets[row + 1]
@@ -63,7 +67,7 @@ def units(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last = np.minimum(at, end - LENGTH)
     ok = last >= first
     at, row, first, last, begin = at[ok], row[ok], first[ok], last[ok], begin[ok]
-    return row, first - begin, last - first + 1, span_hashes(raw, at, at + K), span_hashes(raw, first, last + LENGTH, _CONTENT)
+    return row, first - begin, last - first + 1, at - first, span_hashes(raw, at, at + K), span_hashes(raw, first, last + LENGTH, _CONTENT)
 
 
 def _blobs(key: np.ndarray, columns: list[np.ndarray], kinds: list, names: list[str]) -> pa.Table:
@@ -80,9 +84,9 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
 
 
 _UNITS = ["b", "a", "u", "d", "p", "m"]
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int16()]
-_DECISIONS = ["db", "kind", "d", "p", "m", "key"]
-_DECISION_KINDS = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16()]  # m: number of strings, and 64 times the syncmer's place; both are under 64
+_DECISIONS = ["db", "kind", "d", "p", "m", "q", "key"]
+_DECISION_KINDS = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int64()]
 GOES, COMPARE, SPREAD = 0, 1, 2
 
 
@@ -104,7 +108,7 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
 
 
 def _send(buckets: int):
-    """Units of a task's documents, combined, by bucket; those that are known to go have bucket -1."""
+    """Units of a task's documents, combined, by bucket; those that are known to go have negative buckets, by document."""
 
     def flush(held):
         d, p, m, a, u = (np.concatenate([h[i] for h in held]) for i in range(5))
@@ -113,18 +117,17 @@ def _send(buckets: int):
         new = _changes(u)
         goes = _not_first(~new, d, p)
         bucket = ((a >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        bucket[goes] = -1
+        bucket[goes] = -1 - np.mod(d[goes], buckets)
         keep = new | goes
         bucket, d, p, m, a, u = (c[keep] for c in (bucket, d, p, m, a, u))
-        a = (a & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-        return _blobs(bucket, [a, u.view(np.int64), d, p, m], _KINDS, _UNITS).to_batches()
+        return _blobs(bucket, [a.view(np.int64), u.view(np.int64), d, p, m], _KINDS, _UNITS).to_batches()
 
     def run(batches):
         held, n = [], 0
         for batch in batches:
             for part, raw, at in text_slices(batch):
-                row, p, m, a, u = units(raw, at)
-                held.append((part.column(0).to_numpy(zero_copy_only=False)[row], p, m, a, u))
+                row, p, m, q, a, u = units(raw, at)
+                held.append((part.column(0).to_numpy(zero_copy_only=False)[row], p, m + 64 * q, a, u))
                 n += len(row)
                 if n >= FLUSH:
                     yield from flush(held)
@@ -140,7 +143,7 @@ def _resolve(groups: int):
         a, u, d, p, m = (_flat(table, x) for x in _UNITS[1:])
         if key[0].as_py() < 0:
             kind = np.full(len(d), GOES)
-            k = np.zeros(len(d), np.int64)
+            a = np.zeros(len(d), np.int64)
         else:
             order = np.lexsort((p, d, u, a))
             a, u, d, p, m = (c[order] for c in (a, u, d, p, m))
@@ -149,10 +152,9 @@ def _resolve(groups: int):
             group = np.cumsum(_changes(a)) - 1
             different = np.bincount(group, new_u)[group] if len(group) else np.zeros(0)
             kind = np.where(goes, GOES, np.where(new_u & (different > 1), np.where(different > HOT, SPREAD, COMPARE), -1))
-            k = key[0].as_py() << 32 | (a & 0xFFFFFFFF)
             keep = kind >= 0
-            kind, d, p, m, k = (c[keep] for c in (kind, d, p, m, k))
-        return _blobs(np.mod(d, groups), [kind, d, p, m, k], _DECISION_KINDS, _DECISIONS)
+            kind, d, p, m, a = (c[keep] for c in (kind, d, p, m, a))
+        return _blobs(np.mod(d, groups), [kind, d, p, m & 63, m >> 6, a], _DECISION_KINDS, _DECISIONS)
 
     return run
 
@@ -173,29 +175,28 @@ _STRINGS = pa.schema([("key", pa.int64()), ("bytes", pa.binary()), ("d", pa.int6
 
 def _fetch(docs, decisions):
     """The bytes of the units that are to be compared; without bytes: strings that are known to go."""
-    kind, d, p, m, key = (_flat(decisions, x) for x in _DECISIONS[1:])
+    kind, d, p, m, q, key = (_flat(decisions, x) for x in _DECISIONS[1:])
     raw, at, row, which = _meet(docs, d)
-    kind, d, p, m, key = (c[which] for c in (kind, d, p, m, key))
-    once = np.flatnonzero(_changes(d[o := np.lexsort((p, d))], p[o]))  # rows of one document hold the same bytes
-    row, kind, d, p, m, key = (c[o][once] for c in (row, kind, d, p, m, key))
+    kind, d, p, m, q, key = (c[which] for c in (kind, d, p, m, q, key))
+    order = np.lexsort((p, d))
+    order = order[_changes(d[order], p[order])]  # rows of one document hold the same bytes
+    row, kind, d, p, m, q, key = (c[order] for c in (row, kind, d, p, m, q, key))
     whole = kind == COMPARE
-    parts = [(key[whole], row[whole], d[whole], p[whole], m[whole])]
+    parts = [(key[whole], row[whole], d[whole], p[whole], m[whole], q[whole])]
     if (~whole).any():
         n = m[~whole]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        r, e, q = np.repeat(row[~whole], n), np.repeat(d[~whole], n), np.repeat(p[~whole], n) + step
-        order = np.lexsort((q, r))
-        r, e, q = r[order], e[order], q[order]
-        h = span_hashes(raw, at[r] + q, at[r] + q + LENGTH, _CONTENT).view(np.int64)
-        order = np.lexsort((q, e, h))
-        h, r, e, q = h[order], r[order], e[order], q[order]
-        new = _changes(h)
-        goes = ~new
-        parts.append((h, np.where(goes, -1, r), e, q, np.ones(len(q), np.int64)))
-    key, row, d, p, m = (np.concatenate([x[i] for x in parts]) for i in range(5))
+        r, e, start, place = np.repeat(row[~whole], n), np.repeat(d[~whole], n), np.repeat(p[~whole], n) + step, np.repeat(q[~whole], n) - step
+        order = np.lexsort((start, r))
+        r, e, start, place = r[order], e[order], start[order], place[order]
+        h = span_hashes(raw, at[r] + start, at[r] + start + LENGTH, _CONTENT).view(np.int64)
+        order = np.lexsort((start, e, h))
+        h, r, e, start, place = (c[order] for c in (h, r, e, start, place))
+        parts.append((h, np.where(_changes(h), r, -1), e, start, np.ones(len(e), np.int64), place))
+    key, row, d, p, m, q = (np.concatenate([x[i] for x in parts]) for i in range(6))
     blob = raw.tobytes()
     begin = at[row] + p
-    texts = [blob[b : b + n + LENGTH - 1] if r >= 0 else None for r, b, n in zip(row.tolist(), begin.tolist(), m.tolist())]
+    texts = [blob[b : b + o] + MARK + blob[b + o + K : b + n + LENGTH - 1] if r >= 0 else None for r, b, n, o in zip(row.tolist(), begin.tolist(), m.tolist(), q.tolist())]
     return pa.Table.from_arrays([pa.array(key), pa.array(texts, pa.binary()), pa.array(d), pa.array(p, pa.int32()), pa.array(m, pa.int16())], schema=_STRINGS)
 
 
@@ -258,8 +259,8 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]], depth: int = LENGTH) -> t
     return out, new
 
 
-def repeated(strings: list[bytes], d: np.ndarray, p: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit, string in it) of the strings that start earlier in another unit or place."""
+def repeated(strings: list[bytes], key: np.ndarray, d: np.ndarray, p: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, string in it) of the strings that start earlier in another place, among units of the same key."""
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     unit_at = np.concatenate([[0], np.cumsum(lengths + 1)])
     raw = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
@@ -275,26 +276,26 @@ def repeated(strings: list[bytes], d: np.ndarray, p: np.ndarray, m: np.ndarray)
     edges = unit_at[np.unique(np.concatenate([[0], cuts, [len(strings)]]))]
     shards = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        suffix, symbols = transform(text[a:b])
+        suffix, symbols = transform(text[a:b], DEPTH)
         shards.append((suffix + a, symbols))
-    suffix, new = merge(shards)
+    suffix, new = merge(shards, DEPTH)
     unit = np.searchsorted(unit_at, suffix, "right") - 1
     nth = suffix - unit_at[unit]
     group = np.cumsum(new)
     full = nth < m[unit]
     unit, nth, group = unit[full], nth[full], group[full]
-    order = np.lexsort((p[unit] + nth, d[unit], group))
+    order = np.lexsort((p[unit] + nth, d[unit], key[unit], group))
     unit, nth, group = unit[order], nth[order], group[order]
-    goes = _not_first(~_changes(group), d[unit], p[unit] + nth)
+    goes = _not_first(~_changes(group, key[unit]), d[unit], p[unit] + nth)
     return unit[goes], nth[goes]
 
 
 def _compare(groups: int):
     """Streams units in the order of their keys; gives the strings that go, by group of documents."""
 
-    def flush(strings, d, p, m):
-        d, p, m = np.array(d, np.int64), np.array(p, np.int64), np.array(m, np.int64)
-        unit, nth = repeated(strings, d, p, m)
+    def flush(strings, *columns):
+        key, d, p, m = (np.array(c, np.int64) for c in columns)
+        unit, nth = repeated(strings, key, d, p, m)
         return d[unit], p[unit] + nth
 
     def give(parts):
@@ -305,36 +306,36 @@ def _compare(groups: int):
         m = np.diff(np.append(first, len(d)))
         # runs of neighbouring strings as one decision
         n = len(first)
-        return _blobs(np.mod(d[first], groups), [np.zeros(n, np.int64), d[first], p[first], m, np.zeros(n, np.int64)], _RANGE_KINDS, _DECISIONS).to_batches()
+        return _blobs(np.mod(d[first], groups), [np.zeros(n, np.int64), d[first], p[first], m, np.zeros(n, np.int64), np.zeros(n, np.int64)], _DECISION_KINDS, _DECISIONS).to_batches()
 
     def run(batches):
-        strings, d, p, m, size, last, found = [], [], [], [], 0, None, []
+        strings, keys, d, p, m, size, last, found = [], [], [], [], [], 0, None, []
         for batch in batches:
             for key, text, e, q, n in zip(*(c.to_pylist() for c in batch.columns)):
                 if text is None:
                     found.append((np.array([e]), np.array([q])))
                     continue
                 if size >= COLLECTION and key != last:
-                    found.append(flush(strings, d, p, m))
-                    strings, d, p, m, size = [], [], [], [], 0
+                    found.append(flush(strings, keys, d, p, m))
+                    strings, keys, d, p, m, size = [], [], [], [], [], 0
                     yield from give(found)
                     found = []
                 strings.append(text)
+                keys.append(key)
                 d.append(e)
                 p.append(q)
                 m.append(n)
                 size += len(text) + 1
                 last = key
         if strings:
-            found.append(flush(strings, d, p, m))
+            found.append(flush(strings, keys, d, p, m))
         if found:
             yield from give(found)
 
     return run
 
 
-_RANGE_KINDS = [pa.int8(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-_DECISION_SCHEMA = "db int, kind array<tinyint>, d array<bigint>, p array<int>, m array<int>, key array<bigint>"
+_DECISION_SCHEMA = "db int, kind array<tinyint>, d array<bigint>, p array<int>, m array<int>, q array<smallint>, key array<bigint>"
 
 
 def _remove(kind) -> object:
@@ -389,7 +390,7 @@ def dedup_substrings(documents: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = _prime(4 * parts)
     docs = _numbered(documents)
-    sent = docs.select("d", "text").mapInArrow(_send(groups), "b int, a array<int>, u array<bigint>, d array<bigint>, p array<int>, m array<smallint>")
+    sent = docs.select("d", "text").mapInArrow(_send(groups), "b int, a array<bigint>, u array<bigint>, d array<bigint>, p array<int>, m array<smallint>")
     decisions = durable(sent.groupBy("b").applyInArrow(_resolve(groups), _DECISION_SCHEMA), "decisions")
     dealt = docs.withColumn("db", F.pmod("d", F.lit(groups)).cast("int"))
 
