@@ -37,8 +37,8 @@ def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], prune: Ca
     """Verified pairs (a, b) that connect what all verified pairs of bucket mates would connect.
 
     members has distinct rows (bucket, node). verify takes pairs (a, b), a < b, and returns those that are
-    links, with further columns if it likes. prune takes rows (bucket, node, rank) and leaves out those whose
-    node can't be linked with any other in the bucket; it is asked after each leader's comparisons.
+    links, with further columns if it likes. prune takes rows (bucket, node, rank, group) and leaves out those whose
+    node can't be linked with any of another group in the bucket; it is asked after each leader's comparisons.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
     sizes = durable(sizes, "buckets")
@@ -57,7 +57,7 @@ def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], prune: Ca
         left = parts.agg(F.sum("s").alias("rows"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")).first()
         pairs, last = (twos if found is None else None), not left.rows or left.pairs <= FEW + 2 * left.rows
         if left.rows and not last and not pruned and prune is not None:
-            rows = durable(prune(sized_join(now, parts.select("bucket"), "bucket").select("bucket", "node", "rank")), "members")
+            rows = durable(prune(sized_join(now, parts.select("bucket"), "bucket").select("bucket", "node", "rank", "group")).select("bucket", "node", "rank"), "members")
             pruned = True
             continue
         pruned = False

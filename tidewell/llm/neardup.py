@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, lists, map_arrow, mix, prepare, shingles, sized_join, text_slices, words
+from .common import durable, lists, map_arrow, mix, prepare, shingles, sized_join, text_slices, whole_groups, words
 from .linking import components, link
 
 SHINGLE = 5
@@ -168,16 +168,8 @@ def _similar(batch: pa.RecordBatch, least: float):
 
 def _shared(batches):
     """How many keys of each node other nodes have too; all rows of a key are in one partition, in its order."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        key = table.column("key").to_numpy()
-        last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
-        held = table.slice(last)
-        if last:
-            yield _count_shared(table.slice(0, last))
-    if held is not None and held.num_rows:
-        yield _count_shared(held)
+    for table, _ in whole_groups(batches, "key"):
+        yield _count_shared(table)
 
 
 def _count_shared(table: pa.Table) -> pa.RecordBatch:
