@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 
 from tests.llm.conftest import DATA, documents
-from tidewell.llm import linking
+from tidewell.llm import neardup
 from tidewell.llm.linking import components, link
 from tidewell.llm.neardup import drop_near_duplicates, group_documents, op4, signatures
 
@@ -102,12 +102,27 @@ def test_edge_cases_and_one_of_each_group_stays(spark, tables):
     assert group_documents(given.limit(0)).count() == 0
 
 
-def test_linking_finds_chains_within_one_bucket(spark, monkeypatch):
-    monkeypatch.setattr(linking, "FEW", 0)
+def test_linking_finds_chains_within_one_bucket(spark):
     rnd = random.Random(2)
     values = list(range(0, 8)) + list(range(200, 203)) + [500]
     rnd.shuffle(values)
     members = spark.createDataFrame([(1, v) for v in values] + [(2, 5), (2, 500), (3, 7)], "bucket bigint, node bigint")
-    labels = components(link(members, lambda p: p.where("b - a <= 1"))).collect()
-    got = {r.node: r.label for r in labels}
-    assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}
+
+    def mates(rows):
+        other = rows.toDF("bucket", "other", "theirs")
+        return rows.join(other, "bucket").where("node < other and group <> theirs").selectExpr("node as a", "other as b")
+
+    for large in (6, 100):  # leaders until the bucket is small, or comparisons in it at once
+        labels = components(link(members, lambda p: p.where("b - a <= 1"), mates, large)).collect()
+        got = {r.node: r.label for r in labels}
+        assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}
+
+
+def test_copies_are_compared_within_buckets(spark, tables, monkeypatch):
+    texts = near_copies(40, 120, 2, 7) + near_copies(30, 60, 3, 8)
+    given = documents(spark, texts)
+    want = brute_groups(list(enumerate(texts)))
+    folder = tables(documents=given)
+    assert grouped(op4(spark, folder).collect()) == want
+    monkeypatch.setattr(neardup, "LARGE", 2)
+    assert grouped(op4(spark, folder).collect()) == want

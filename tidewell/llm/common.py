@@ -118,33 +118,18 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def whole_groups(batches, key: str, most: int | None = None) -> Iterator[tuple[pa.Table, bool]]:
-    """Tables of whole groups from batches in the order of a whole-number key; each with whether its groups are whole.
-
-    A group of more than ``most`` rows is given in parts, which are not whole.
-    """
-    held, broken = None, None
+def whole_groups(batches, key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches in the order of a whole-number key."""
+    held = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
         keys = table.column(key).to_numpy()
-        if broken is not None:
-            n = int(np.searchsorted(keys, broken, "right"))
-            if n:
-                yield table.slice(0, n), False
-            table, keys = table.slice(n), keys[n:]
-        if not len(keys):
-            held = None
-            continue
-        broken = None
-        last = int(np.searchsorted(keys, keys[-1], "left"))
+        last = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
         held = table.slice(last)
         if last:
-            yield table.slice(0, last), True
-        if most is not None and held.num_rows > most:
-            yield held, False
-            broken, held = keys[-1], None
+            yield table.slice(0, last)
     if held is not None and held.num_rows:
-        yield held, True
+        yield held
 
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:

@@ -1,9 +1,9 @@
 """Connected groups of similar things, from buckets that candidates share, without all pairs of a bucket.
 
 ``link`` loses no link that matters for the groups. In every bucket one member, the one that shares most
-with others, is compared with all the rest; then another, but only with members that are not yet in its group, and so on, until each
-bucket is one group or its members have all been compared. When the comparisons that are left are about as few as
-the rows, they are made at once. All tables stay distributed; the driver sees counts.
+with others, is compared with all the rest. What is still apart, and not ruled out, is then compared inside the buckets' tasks, which give
+only what is alike; buckets too large for that have another member compared with those not yet in its group, and
+so on, until each bucket is one group or its members have all been compared. All tables stay distributed; the driver sees counts.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import durable, sized_join
 
-#: Comparisons that may be left for the last step, beside twice the number of rows.
-FEW = 50_000
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of edges (a, b); the label is the least node that is connected."""
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct().toDF("node", "other"), "edges")
@@ -33,48 +29,49 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None) -> DataFrame:
     """Verified pairs (a, b) that connect what all verified pairs of bucket mates would connect.
 
     members has distinct rows (bucket, node). verify takes pairs (a, b), a < b, and returns those that are
-    links, with further columns if it likes. prune takes rows (bucket, node, rank, group) and leaves out those whose
-    node can't be linked with any of another group in the bucket; it is asked after each leader's comparisons.
+    links, with further columns if it likes. mates takes rows (bucket, node, group) of buckets of up to ``large``
+    members and returns pairs (a, b) of different groups, among them links between all groups that have any.
+    prune takes rows (bucket, node, rank, group) and may leave out those whose node has no link in the bucket.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
     sizes = durable(sizes, "buckets")
-    twos = sizes.where("n = 2").select("a", "b")
     rows = durable(sized_join(members, sizes.where("n > 2").select("bucket", "n"), "bucket"), "members")
     rank = rows.groupBy("node").agg(F.sum("n").alias("rank"))
-    rows = durable(rows.join(rank, "node").select("bucket", "node", "rank"), "members")
-    found = None
-    labels = None
-    pruned = True
+    rows = durable(rows.join(rank, "node").select("bucket", "node", "rank", F.col("node").alias("group")), "members")
+    made, rows = _led(rows)
+    found = durable(verify(durable(made.union(sizes.where("n = 2").select("a", "b")).distinct(), "pairs")), "links")
     while True:
-        now = rows.withColumn("group", F.col("node")) if labels is None else rows.join(labels, "node", "left").withColumn("group", F.coalesce("label", "node")).drop("label")
-        now = durable(now, "groups")
-        parts = now.groupBy("bucket", "group").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.count("*").alias("groups"), F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).where("groups > 1")
-        parts = durable(parts, "open")
-        left = parts.agg(F.sum("s").alias("rows"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")).first()
-        pairs, last = (twos if found is None else None), not left.rows or left.pairs <= FEW + 2 * left.rows
-        if left.rows and not last and not pruned and prune is not None:
-            rows = durable(prune(sized_join(now, parts.select("bucket"), "bucket").select("bucket", "node", "rank", "group")).select("bucket", "node", "rank"), "members")
-            pruned = True
-            continue
-        pruned = False
-        if left.rows:
-            now = sized_join(now, parts.select("bucket"), "bucket")
-            if last:
-                other = now.select("bucket", F.col("node").alias("other"), F.col("group").alias("theirs"))
-                made = now.join(other, "bucket").where("node < other and group <> theirs").select(F.col("node").alias("a"), F.col("other").alias("b"))
-            else:
-                leaders = durable(now.groupBy("bucket").agg(F.max(F.struct("rank", "node", "group")).alias("l")).select("bucket", F.col("l.node").alias("leader"), F.col("l.group").alias("theirs")), "leaders")
-                led = sized_join(now, leaders, "bucket")
-                made = led.where("group <> theirs").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-                rows = durable(led.where("node <> leader").select("bucket", "node", "rank"), "members")
-            pairs = made if pairs is None else pairs.union(made)
-        if pairs is not None:
-            new = verify(durable(pairs.distinct(), "pairs"))
-            found = durable(new if found is None else found.unionByName(new), "links")
-        if last:
-            return found
         labels = components(found)
+        rows = _still_open(rows, labels)
+        if prune is not None:
+            rows = _still_open(prune(rows), labels)
+        sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
+        counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large")).first()
+        if not counts["all"]:
+            return found
+        made = mates(sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket").select("bucket", "node", "group"))
+        if counts["large"]:
+            led, rows = _led(sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket"))
+            made = made.union(led)
+        found = durable(found.unionByName(verify(durable(made.distinct(), "pairs"))), "links")
+        if not counts["large"]:
+            return found
+
+
+def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows, with their groups, of buckets that hold more than one group."""
+    now = durable(rows.select("bucket", "node", "rank").join(labels, "node", "left").select("bucket", "node", "rank", F.coalesce("label", "node").alias("group")), "groups")
+    mixed = now.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
+    return durable(sized_join(now, durable(mixed, "open"), "bucket"), "members")
+
+
+def _led(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of each bucket's leader with all of other groups, the rows without the leaders)."""
+    leaders = durable(rows.groupBy("bucket").agg(F.max(F.struct("rank", "node", "group")).alias("l")).select("bucket", F.col("l.node").alias("leader"), F.col("l.group").alias("theirs")), "leaders")
+    led = sized_join(rows, leaders, "bucket")
+    pairs = led.where("group <> theirs").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    return pairs, durable(led.where("node <> leader").select("bucket", "node", "rank", "group"), "members")

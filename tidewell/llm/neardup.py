@@ -34,6 +34,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 63
 BAND = 3
+#: Members of a bucket up to which they are compared in one task, by products of ``COLUMNS`` shingles at a time.
+LARGE = 3000
+COLUMNS = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -168,7 +171,7 @@ def _similar(batch: pa.RecordBatch, least: float):
 
 def _shared(batches):
     """How many keys of each node other nodes have too; all rows of a key are in one partition, in its order."""
-    for table, _ in whole_groups(batches, "key"):
+    for table in whole_groups(batches, "key"):
         yield _count_shared(table)
 
 
@@ -180,6 +183,43 @@ def _count_shared(table: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([nodes.field("values"), nodes.field("counts")], ["node", "shared"])
 
 
+def _alike(least: float):
+    """Of rows (bucket, node, group, keys) in the buckets' order, a similar pair for each two groups that have one."""
+
+    def run(batches):
+        for table in whole_groups(batches, "bucket"):
+            bucket = table.column("bucket").to_numpy()
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            a, b = [], []
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
+                part = table.slice(lo, hi - lo).combine_chunks()
+                keys, size = part.column("keys").combine_chunks(), np.asarray(part.column("keys").combine_chunks().value_lengths())
+                value, inverse, count = np.unique(keys.flatten().to_numpy(), return_inverse=True, return_counts=True)
+                shared = np.flatnonzero(count > 1)
+                column = np.full(len(value), -1)
+                column[shared] = np.arange(len(shared))
+                row, column = np.repeat(np.arange(len(size)), size), column[inverse]
+                both = np.zeros((len(size), len(size)), np.float32)
+                order = np.argsort(column, kind="stable")
+                row, column = row[order], column[order]
+                for at in range(0, len(shared), COLUMNS):
+                    i, j = np.searchsorted(column, [at, at + COLUMNS])
+                    block = np.zeros((len(size), COLUMNS), np.float32)
+                    block[row[i:j], column[i:j] - at] = 1
+                    both += block @ block.T
+                group = part.column("group").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+                similar = (both >= least * (size[:, None] + size[None, :] - both)) & (both > 0) & (group[:, None] < group[None, :])
+                i, j = np.nonzero(similar)
+                _, once = np.unique(group[i] << 32 | group[j], return_index=True)
+                node = part.column("node").to_pylist()
+                for x, y in zip(i[once].tolist(), j[once].tolist()):
+                    a.append(min(node[x], node[y]))
+                    b.append(max(node[x], node[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return run
+
+
 def text_nodes(documents: DataFrame) -> DataFrame:
     """documents with ``node``, the MD5 of the text, null as empty."""
     return documents.withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
@@ -212,7 +252,11 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
         union = F.col("n") + F.greatest("c", "s") - F.col("c")
         return sized_join(sized, smallest, "bucket").where(F.col("c") >= F.lit(least - 1e-9) * union).select("bucket", "node", "rank")
 
-    return components(link(durable(members, "bands"), verify, prune))
+    def mates(rows: DataFrame) -> DataFrame:
+        held = rows.join(multisets(rows.select("node")), "node").select("bucket", "node", "group", "keys")
+        return held.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike(least), "a binary, b binary")
+
+    return components(link(durable(members, "bands"), verify, mates, LARGE, prune))
 
 
 def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
