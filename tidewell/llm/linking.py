@@ -53,9 +53,9 @@ def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prun
         counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large")).first()
         if not counts["all"]:
             return found
-        made = mates(sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket").select("bucket", "node", "group"))
+        made = mates(sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi").select("bucket", "node", "group"))
         if counts["large"]:
-            led, rows = _led(sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket"))
+            led, rows = _led(sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi"))
             made = made.union(led)
         found = durable(found.unionByName(verify(durable(made.distinct(), "pairs"))), "links")
         if not counts["large"]:
@@ -66,7 +66,7 @@ def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows, with their groups, of buckets that hold more than one group."""
     now = durable(rows.select("bucket", "node", "rank").join(labels, "node", "left").select("bucket", "node", "rank", F.coalesce("label", "node").alias("group")), "groups")
     mixed = now.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
-    return durable(sized_join(now, durable(mixed, "open"), "bucket"), "members")
+    return durable(sized_join(now, durable(mixed, "open"), "bucket", "left_semi"), "members")
 
 
 def _led(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
