@@ -16,16 +16,28 @@ from pyspark.sql import functions as F
 from .common import durable, sized_join
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of edges (a, b); the label is the least node that is connected."""
-    both = durable(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct().toDF("node", "other"), "edges")
-    labels = durable(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    """(node, label) for the nodes of edges (a, b); the label is the least node that is connected.
+
+    Every node points to its least neighbour, if that is less; pointers are followed to their ends, the edges are put
+    between the ends, and those within one end are done. What is left shrinks from round to round.
+    """
+    edges = durable(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    labels = None
     while True:
-        near = both.join(labels.toDF("other", "theirs"), "other").groupBy("node").agg(F.min("theirs").alias("m"))
-        hooked = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        jumped = hooked.join(hooked.select(F.col("node").alias("label"), F.col("label").alias("further")), "label").select("node", "old", F.least("label", "further").alias("label"))
-        jumped = durable(jumped, "labels")
-        labels = jumped.select("node", "label")
-        if not jumped.where("old <> label").limit(1).count():
+        both = edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other")
+        ends = durable(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "pointers")
+        while True:
+            further = durable(ends.join(ends.toDF("label", "next"), "label").select("node", "label", "next"), "pointers")
+            ends = further.select("node", F.col("next").alias("label"))
+            if not further.where("label <> next").limit(1).count():
+                break
+        if labels is None:
+            labels = ends
+        else:
+            labels = durable(labels.join(ends.toDF("label", "end"), "label", "left").select("node", F.coalesce("end", "label").alias("label")), "labels")
+        edges = edges.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        edges = durable(edges, "edges")
+        if not edges.limit(1).count():
             return labels
 
 
