@@ -6,12 +6,16 @@ rate; a path's rate is shrunk towards its host's. How strongly is estimated from
 what chance explains (method of moments), so sparse sites follow the level above. A document's own p is left
 out of the rates that judge it. The posterior log-odds are those of p plus the path's less the global ones.
 
+A second logistic regression, on which words a text holds, gives the probability that it is toxic, whatever its quality. Its
+words are those that the toxic documents of the sample hold more often than chance explains. A document is kept if its
+quality is good and it is not toxic; a site's rates don't speak for or against toxic words.
+
 The regression is fitted on a bounded sample: one labelled document in each of ``LABELLED`` hash buckets. All
 sums run over all documents as grouped aggregations, which combine before they shuffle, so a host with a third of
 all rows is a few partial sums. The table of paths is broadcast if counted to be small, else joined salted.
 
 Edge cases: a text without words gives no evidence, its p is the global rate. Null hosts and paths are sites
-of their own. Without usable labels everything is kept with score 1. Labels that are null or of unknown documents are left
+of their own. Without usable labels everything is kept with score 1; without usable labels of toxicity, or words that tell, nothing is toxic. Labels that are null or of unknown documents are left
 out; repeated labels each count. Repeated rows are returned once each. Texts may be of any length.
 """
 
@@ -26,6 +30,8 @@ from .common import durable, map_arrow, prepare, sized_join, text_slices, words
 
 LABELLED = 16_384
 THRESHOLD = 0.5
+#: Words of the toxicity model at most, and the standard errors by which their rates in toxic and other documents differ at least.
+TELLING, SURE = 512, 5.0
 #: Bounds of the weight of a level above, in documents.
 WEIGHTS = (1.0, 1e6)
 
@@ -109,19 +115,96 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Re
     return Regression(np.array(got.column("x").to_pylist()), y)
 
 
-def _evidence(rows: DataFrame, model: Regression) -> DataFrame:
-    """rows, which hold ``text``, with the column _p; a text without words has the rate of the labels."""
+class Toxicity:
+    """Logistic regression on which of the telling words, ascending hashes, a text holds."""
+
+    def __init__(self, telling: np.ndarray, x: np.ndarray, y: np.ndarray):
+        self.telling, self.model = telling, Regression(x, y)
+
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return self.model(presence(raw, offsets, self.telling))
+
+
+def presence(raw: np.ndarray, offsets: np.ndarray, telling: np.ndarray) -> np.ndarray:
+    """1 where a text holds a word, 0 elsewhere; one column for each of the ascending hashes."""
+    hashes, _, _, counts = words(raw, offsets)
+    out = np.zeros((len(counts), len(telling)))
+    at = np.minimum(np.searchsorted(telling, hashes), len(telling) - 1)
+    hit = telling[at] == hashes
+    out[np.repeat(np.arange(len(counts)), counts)[hit], at[hit]] = 1
+    return out
+
+
+def fit_toxicity(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Toxicity | None:
+    """The toxicity model on the sampled labels; None if they do not hold both classes or no word tells them apart.
+
+    Words are counted as grouped sums; the driver gets the telling ones and, of one document a bucket, which it holds.
+    """
+    if "toxic" not in labels.columns:
+        return None
+    prepare(documents.sparkSession)
+    usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
+    mark = F.xxhash64(F.col("doc_id").cast("string"))
+    chosen = usable.select(F.struct(mark.alias("mark"), "doc_id", "toxic").alias("m")).groupBy(F.pmod("m.mark", F.lit(labelled)).alias("bucket")).agg(F.min("m").alias("m")).select("m.doc_id", "m.toxic")
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = durable(rows.select("toxic", "text"), "toxic-sample")
+
+    def distinct(batch):
+        for part, raw, at in text_slices(batch):
+            hashes, _, _, counts = words(raw, at)
+            row = np.repeat(np.arange(len(counts)), counts)
+            order = np.lexsort((hashes, row))
+            hashes, row = hashes[order], row[order]
+            fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))[: len(row)]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[fresh])), pa.array(hashes[fresh].view(np.int64))], ["toxic", "word"])
+
+    total = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
+    if not total.t or total.t == total.n:
+        return None
+    held = map_arrow(rows, distinct, "toxic int, word bigint").groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
+    rate = F.col("n") / total.n
+    error = F.sqrt(rate * (1 - rate) * (1 / total.t + 1 / (total.n - total.t)))
+    surplus = F.col("t") / total.t - (F.col("n") - F.col("t")) / (total.n - total.t)
+    best = held.where(F.col("n") < total.n).select("word", (surplus / error).alias("z")).where(F.col("z") >= SURE).orderBy(F.desc("z"), "word").limit(TELLING).collect()
+    if not best:
+        return None
+    telling = np.sort(np.array([r.word for r in best], np.int64).view(np.uint64))
+
+    def run(batch):
+        for part, raw, at in text_slices(batch):
+            x = presence(raw, at, telling) > 0
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b.tobytes() for b in np.packbits(x, 1)], pa.binary())], ["toxic", "x"])
+
+    got = map_arrow(rows, run, "toxic int, x binary").orderBy("toxic", "x").toArrow()
+    packed = np.frombuffer(b"".join(got.column("x").to_pylist()), np.uint8).reshape(got.num_rows, -1)
+    x = np.unpackbits(packed, axis=1, count=len(telling)).astype(float)
+    return Toxicity(telling, x, got.column("toxic").to_numpy().astype(float))
+
+
+def toxicity(rows: DataFrame, model: Toxicity | None) -> DataFrame:
+    """rows, which hold ``text``, with the column _p_toxic; null without a model."""
+    if model is None:
+        return rows.withColumn("_p_toxic", F.lit(None).cast("double"))
+    return _evidence(rows, model, "_p_toxic")
+
+
+def _evidence(rows: DataFrame, model: Regression | Toxicity, name: str = "_p") -> DataFrame:
+    """rows, which hold ``text``, with the model's probability; by the regression, a text without words has the rate of the labels."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
     names = rows.columns
 
     def run(batch):
         for part, raw, at in text_slices(batch):
-            x, n = features(raw, at)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.where(n > 0, sent.value(x), sent.value.rate))], [*names, "_p"])
+            if isinstance(sent.value, Toxicity):
+                p = sent.value(raw, at)
+            else:
+                x, n = features(raw, at)
+                p = np.where(n > 0, sent.value(x), sent.value.rate)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*names, name])
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return map_arrow(rows, run, StructType([*rows.schema.fields]).add("_p", DoubleType()))
+    return map_arrow(rows, run, StructType([*rows.schema.fields]).add(name, DoubleType()))
 
 
 def _weight(rates: DataFrame, rate: float) -> float:
@@ -135,17 +218,19 @@ def _weight(rates: DataFrame, rate: float) -> float:
 
 
 def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """documents with _host, _path, _p (of the document alone), _host_rate, _path_rate, _score and _keep.
+    """documents with _host, _path, _p_toxic, _p (of the document alone), _host_rate, _path_rate, _score, _keep (of good quality) and _toxic.
 
     host and path are columns of documents; by default the source, and the source with the language below it.
     """
     host = F.col("source") if host is None else host
     path = F.concat_ws("/", "source", "lang") if path is None else path
     given = documents.withColumn("_host", F.coalesce(host.cast("string"), F.lit(""))).withColumn("_path", F.coalesce(path.cast("string"), F.lit("")))
+    judge = fit_toxicity(documents, labels)
+    toxic = F.coalesce(F.col("_p_toxic") >= threshold, F.lit(False))
     model = fit(documents, labels)
     if model is None:
         nothing = F.lit(None).cast("double")
-        return given.withColumn("_p", nothing).withColumn("_host_rate", nothing).withColumn("_path_rate", nothing).withColumn("_score", F.lit(1.0)).withColumn("_keep", F.lit(True))
+        return toxicity(given, judge).withColumn("_p", nothing).withColumn("_host_rate", nothing).withColumn("_path_rate", nothing).withColumn("_score", F.lit(1.0)).withColumn("_keep", F.lit(True)).withColumn("_toxic", toxic)
     sums = _evidence(given.select("_host", "_path", "text"), model).groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum("_p").alias("s"))
     paths = durable(sums, "sites")
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
@@ -154,7 +239,7 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
     up, low = _weight(hosts, rate), _weight(paths, rate)
     sites = paths.withColumnsRenamed({"n": "_pn", "s": "_ps"}).join(hosts.withColumnsRenamed({"n": "_hn", "s": "_hs"}), "_host")
     sites = sites.select(F.xxhash64("_host", "_path").alias("_site"), F.col("_host").alias("_h"), F.col("_path").alias("_t"), "_pn", "_ps", "_hn", "_hs")
-    judged = sized_join(_evidence(given, model).withColumn("_site", F.xxhash64("_host", "_path")), sites, "_site").where("_host = _h and _path = _t")
+    judged = sized_join(_evidence(toxicity(given, judge), model).withColumn("_site", F.xxhash64("_host", "_path")), sites, "_site").where("_host = _h and _path = _t")
     p = F.col("_p")
     at_host = (F.lit(up * rate) + F.col("_hs") - p) / (F.lit(up) + F.col("_hn") - 1)
     at_path = (F.lit(low) * F.col("_host_rate") + F.col("_ps") - p) / (F.lit(low) + F.col("_pn") - 1)
@@ -162,14 +247,14 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
     odds = lambda x: F.log(x / (1 - x))
     out = judged.withColumn("_host_rate", bound(at_host)).withColumn("_path_rate", bound(at_path))
     out = out.withColumn("_score", 1 / (1 + F.exp(-(odds(bound(p)) + odds(F.col("_path_rate")) - F.lit(float(np.log(rate / (1 - rate))))))))
-    return out.withColumn("_keep", F.col("_score") >= threshold).select(*given.columns, "_p", "_host_rate", "_path_rate", "_score", "_keep")
+    return out.withColumn("_keep", F.col("_score") >= threshold).select(*given.columns, "_p_toxic", "_p", "_host_rate", "_path_rate", "_score", "_keep", toxic.alias("_toxic"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with the columns they came with."""
-    return score(documents, labels).where("_keep").select(*documents.columns)
+    return score(documents, labels).where("_keep and not _toxic").select(*documents.columns)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
     out = score(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return out.select("doc_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_p").alias("p_document"), F.col("_host_rate").alias("host_rate"), F.col("_path_rate").alias("path_rate"), F.col("_score").alias("score"), F.col("_keep").alias("keep"))
+    return out.select("doc_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_p").alias("p_document"), F.col("_host_rate").alias("host_rate"), F.col("_path_rate").alias("path_rate"), F.col("_score").alias("score"), F.expr("_keep and not _toxic").alias("keep"), F.col("_p_toxic").alias("p_toxic"))
