@@ -61,6 +61,14 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever its case."""
+    held = {c.lower() for c in df.columns}
+    while f"_{name}".lower() in held:
+        name = f"_{name}"
+    return f"_{name}"
+
+
 def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS, cost: Column | None = None) -> DataFrame:
     """Joins on a key of which big may hold very many equal rows.
 
@@ -70,9 +78,10 @@ def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", li
     size = small.limit(limit + 1).count() if cost is None else small.agg(F.sum(cost)).first()[0] or 0
     if size <= limit:
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-    spread = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return salted.join(spread, [on, "_salt"], how).drop("_salt")
+    salt = fresh(big, "salt")
+    salted = big.withColumn(salt, F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
+    spread = small.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(spread, [on, salt], how).drop(salt)
 
 
 # Arrow text blocks -----------------------------------------------------------------------------
@@ -119,17 +128,33 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
 
 
 def whole_groups(batches, key: str) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches in the order of a whole-number key."""
-    held = None
+    """Tables of whole groups from batches in the order of a whole-number key; for groups of bounded size."""
+    held, last = [], None
     for batch in batches:
-        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        keys = table.column(key).to_numpy()
-        last = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
-        held = table.slice(last)
-        if last:
-            yield table.slice(0, last)
-    if held is not None and held.num_rows:
-        yield held
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy()
+        at = int(np.searchsorted(keys, keys[-1], "left"))
+        if last != keys[-1] and (held or at):
+            cut = at if at else 0
+            yield pa.Table.from_batches([*held, *([batch.slice(0, cut)] if cut else [])])
+            held = []
+            batch = batch.slice(cut)
+        held.append(batch)
+        last = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns differs from the row before; true in the first row."""
+    n = len(columns[0])
+    out = np.ones(n, bool)
+    if n:
+        out[1:] = False
+        for c in columns:
+            out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -160,28 +185,27 @@ def seeded(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_ODD) + np.uint64(seed))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, n of each at least."""
+    """Powers of an odd base and of its inverse modulo 2**64, n of each at least; those of a block's size are kept."""
+    if _POWERS and len(_POWERS[0][0]) >= n:
+        return _POWERS[0]
     size = 1 << max(12, (n - 1).bit_length())
-    if size not in _POWERS:
-        base = 0xD6E8FEB86659FD93
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.ones(size, np.uint64)
-            k, step = 1, b
-            while k < size:
-                p[k : 2 * k] = p[:k] * np.uint64(step)
-                step = step * step & _M64
-                k *= 2
-            out.append(p)
-        if size > 2 * BLOCK_BYTES:
-            return out[0], out[1]
-        _POWERS.clear()
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
+    base = 0xD6E8FEB86659FD93
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.ones(size, np.uint64)
+        k, step = 1, b
+        while k < size:
+            p[k : 2 * k] = p[:k] * np.uint64(step)
+            step = step * step & _M64
+            k *= 2
+        out.append(p)
+    if size <= 2 * BLOCK_BYTES:
+        _POWERS[:] = [(out[0], out[1])]
+    return out[0], out[1]
 
 
 _BYTES = seeded(256, 11)

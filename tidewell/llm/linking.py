@@ -1,9 +1,10 @@
 """Connected groups of similar things, from buckets that candidates share, without all pairs of a bucket.
 
-``link`` loses no link that matters for the groups. In every bucket one member, the one that shares most
-with others, is compared with all the rest. What is still apart, and not ruled out, is then compared inside the buckets' tasks, which give
-only what is alike; buckets too large for that have another member compared with those not yet in its group, and
-so on, until each bucket is one group or its members have all been compared. All tables stay distributed; the driver sees counts.
+In every bucket one member, the least, is compared with all the rest. What is still apart, and not ruled out, is then
+compared inside the buckets' tasks, which give only what is alike. Buckets too large for a task are split into finer
+ones by hashes not used so far, and go through the same again: rounds grow with the logarithm of a bucket. Members that
+no hash tells apart have one more of them compared with the rest in each round. All tables stay distributed; the driver
+sees counts.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import durable, sized_join
 
+#: Rows of buckets around one group that are compared in one task, so that pairs that meet in several are told apart once.
+HOME = 20_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of edges (a, b); the label is the least node that is connected.
 
@@ -41,49 +46,58 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None) -> DataFrame:
+def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, split: Callable | None = None, first: DataFrame | None = None) -> DataFrame:
     """Verified pairs (a, b) that connect what all verified pairs of bucket mates would connect.
 
-    members has distinct rows (bucket, node). verify takes pairs (a, b), a < b, and returns those that are
-    links, with further columns if it likes. mates takes rows (bucket, node, group) of buckets of up to ``large``
-    members and returns pairs (a, b) of different groups, among them links between all groups that have any.
-    prune takes rows (bucket, node, rank, group) and may leave out those whose node has no link in the bucket.
+    members has distinct rows (bucket, node); first, if given, further pairs (a, b), a < b, to be verified. verify takes
+    such pairs and returns those that are links. mates takes rows (bucket, node, group) of buckets of up to ``large``
+    members and returns pairs (a, b) of different groups, among them links between all groups that have any. split takes
+    rows (bucket, node) of larger buckets and returns rows of finer ones, in which similar members meet again. prune
+    takes rows (bucket, node, group) and may leave out those whose node has no link in the bucket.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
-    sizes = durable(sizes, "buckets")
-    rows = durable(sized_join(members, sizes.where("n > 2").select("bucket", "n"), "bucket"), "members")
-    rank = rows.groupBy("node").agg(F.sum("n").alias("rank"))
-    rows = durable(rows.join(rank, "node").select("bucket", "node", "rank", F.col("node").alias("group")), "members")
-    made, rows = _led(rows)
-    found = durable(verify(durable(made.union(sizes.where("n = 2").select("a", "b")).distinct(), "pairs")), "links")
+    found, most, shrinks = None, None, split is not None
     while True:
+        pairs, rows = _led(members)
+        if first is not None:
+            pairs, first = pairs.union(first.select("a", "b")), None
+        links = verify(durable(pairs.distinct(), "pairs"))
+        found = durable(links if found is None else found.union(links), "links")
         labels = components(found)
         rows = _still_open(rows, labels)
         if prune is not None:
-            rows = _still_open(prune(rows), labels)
+            rows = _still_open(prune(rows).drop("group"), labels)
         sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
-        counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large")).first()
+        counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large"), F.max("n").alias("most")).first()
         if not counts["all"]:
             return found
-        made = mates(sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi").select("bucket", "node", "group"))
-        if counts["large"]:
-            led, rows = _led(sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi"))
-            made = made.union(led)
-        found = durable(found.unionByName(verify(durable(made.distinct(), "pairs"))), "links")
+        few = sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi")
+        found = durable(found.union(verify(durable(mates(few).distinct(), "pairs"))), "links")
         if not counts["large"]:
             return found
+        many = sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi").select("bucket", "node")
+        shrinks = shrinks and (most is None or 2 * counts["most"] <= most)
+        most = counts["most"]
+        # where splitting tells members apart no longer, buckets stay as they are, without those already compared
+        members = durable(split(many).distinct(), "finer") if shrinks else many
+
+
+def with_homes(rows: DataFrame, size: int = HOME) -> DataFrame:
+    """rows (bucket, node, group) with ``home``: buckets with the same least group have the same, up to about ``size`` rows."""
+    buckets = rows.groupBy("bucket").agg(F.min("group").alias("least"), F.count("*").alias("n"))
+    totals = buckets.groupBy("least").agg(F.sum("n").alias("total"))
+    homes = buckets.join(totals, "least").select("bucket", F.xxhash64("least", F.pmod("bucket", F.ceil(F.col("total") / size))).alias("home"))
+    return sized_join(rows, durable(homes, "homes"), "bucket")
+
+
+def _led(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of each bucket's least node with all others, the rows without it)."""
+    least = durable(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1").select("bucket", "a"), "leaders")
+    led = durable(sized_join(members, least, "bucket").where("node <> a").select("bucket", "node", "a"), "members")
+    return led.select("a", F.col("node").alias("b")), led.select("bucket", "node")
 
 
 def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their groups, of buckets that hold more than one group."""
-    now = durable(rows.select("bucket", "node", "rank").join(labels, "node", "left").select("bucket", "node", "rank", F.coalesce("label", "node").alias("group")), "groups")
+    """The rows (bucket, node), with their groups, of buckets that hold more than one group."""
+    now = durable(sized_join(rows, labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("group")), "groups")
     mixed = now.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
     return durable(sized_join(now, durable(mixed, "open"), "bucket", "left_semi"), "members")
-
-
-def _led(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs of each bucket's leader with all of other groups, the rows without the leaders)."""
-    leaders = durable(rows.groupBy("bucket").agg(F.max(F.struct("rank", "node", "group")).alias("l")).select("bucket", F.col("l.node").alias("leader"), F.col("l.group").alias("theirs")), "leaders")
-    led = sized_join(rows, leaders, "bucket")
-    pairs = led.where("group <> theirs").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    return pairs, durable(led.where("node <> leader").select("bucket", "node", "rank", "group"), "members")

@@ -27,15 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, lists, map_arrow, mix, prepare, shingles, sized_join, text_slices, whole_groups, words
+from .common import changes, durable, fresh, lists, map_arrow, mix, prepare, seeded, shingles, sized_join, text_slices, whole_groups, words
 from .linking import components, link
 
 SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 63
 BAND = 3
-#: Members of a bucket up to which they are compared in one task, by products of ``COLUMNS`` shingles at a time.
-LARGE = 3000
+#: Members of a bucket up to which they are compared in one task, by products of ``COLUMNS`` shingles at a time; larger
+#: buckets are split by as many bands again of minima over the multisets.
+LARGE = 1000
+_FACTORS = seeded(REGISTERS, 4) | np.uint64(1)
 COLUMNS = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
@@ -169,18 +171,17 @@ def _similar(batch: pa.RecordBatch, least: float):
     yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
 
-def _shared(batches):
-    """How many keys of each node other nodes have too; all rows of a key are in one partition, in its order."""
-    for table in whole_groups(batches, "key"):
-        yield _count_shared(table)
-
-
-def _count_shared(table: pa.Table) -> pa.RecordBatch:
-    key = table.column("key").to_numpy()
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    n = np.diff(np.append(first, len(key)))
-    nodes = table.column("node").combine_chunks().take(pa.array(np.flatnonzero(np.repeat(n, n) > 1))).value_counts()
-    return pa.RecordBatch.from_arrays([nodes.field("values"), nodes.field("counts")], ["node", "shared"])
+def _split(batch: pa.RecordBatch):
+    """Of rows (bucket, node, keys), rows (bucket, node) of finer buckets: minima over the keys agree as the registers do."""
+    keys = batch.column(2)
+    size = np.asarray(keys.value_lengths()).astype(np.int64)
+    some = np.flatnonzero(size > 0)
+    flat, starts = keys.flatten().to_numpy().view(np.uint64), (np.cumsum(size) - size)[some]
+    finer = np.repeat(batch.column(0).to_numpy()[some].view(np.uint64)[:, None], REGISTERS // BAND, 1)
+    finer = mix(finer + np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64))
+    for i, factor in enumerate(_FACTORS if len(some) else ()):
+        finer[:, i // BAND] = mix(finer[:, i // BAND] ^ np.minimum.reduceat(flat * factor, starts))
+    yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64).ravel()), batch.column(1).take(pa.array(np.repeat(some, finer.shape[1])))], ["bucket", "node"])
 
 
 def _alike(least: float):
@@ -225,7 +226,7 @@ def text_nodes(documents: DataFrame) -> DataFrame:
     return documents.withColumn("node", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
 
 
-def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
+def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY, large: int = LARGE) -> DataFrame:
     """(node, label) of the texts that are linked with a different one."""
     prepare(documents.sparkSession)
     texts = text_nodes(documents.select("text"))
@@ -244,44 +245,55 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
     def prune(rows: DataFrame) -> DataFrame:
         # two texts share no more than what either shares with any; the rest of both is in the union
         sets = multisets(rows.select("node"))
-        keys = sets.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
-        shared = keys.mapInArrow(_shared, "node binary, shared bigint").groupBy("node").agg(F.sum("shared").alias("c"))
+        keys = sets.select("node", F.explode("keys").alias("key"))
+        common = durable(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
+        shared = sized_join(keys, common, "key", "left_semi").groupBy("node").agg(F.count("*").alias("c"))
         known = durable(sets.select("node", F.size("keys").alias("n")).join(shared, "node").where(F.col("c") >= F.lit(least - 1e-9) * F.col("n")), "shares")
         sized = durable(rows.join(known, "node"), "members")
         smallest = sized.groupBy("bucket").agg(F.min("n").alias("s"))
         union = F.col("n") + F.greatest("c", "s") - F.col("c")
-        return sized_join(sized, smallest, "bucket").where(F.col("c") >= F.lit(least - 1e-9) * union).select("bucket", "node", "rank")
+        return sized_join(sized, smallest, "bucket").where(F.col("c") >= F.lit(least - 1e-9) * union).select("bucket", "node")
+
+    def with_keys(rows: DataFrame) -> DataFrame:
+        return rows.join(multisets(rows.select("node")), "node")
 
     def mates(rows: DataFrame) -> DataFrame:
-        held = rows.join(multisets(rows.select("node")), "node").select("bucket", "node", "group", "keys")
+        held = with_keys(rows).select("bucket", "node", "group", "keys")
         return held.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike(least), "a binary, b binary")
 
-    return components(link(durable(members, "bands"), verify, mates, LARGE, prune))
+    def split(rows: DataFrame) -> DataFrame:
+        return map_arrow(with_keys(rows).select("bucket", "node", "keys"), _split, "bucket bigint, node binary")
+
+    return components(link(durable(members, "bands"), verify, mates, large, prune, split))
 
 
-def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, node (digest of the text), group_id (its group's least doc_id) and group_size of each document."""
-    labels = near_groups(documents, k, least)
+def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY, large: int = LARGE) -> DataFrame:
+    """doc_id, node (digest of the text), label (the group's), group_id (its least doc_id) and group_size of each document."""
+    labels = near_groups(documents, k, least, large)
     rows = text_nodes(documents.select("doc_id", "text")).select("doc_id", "node")
-    rows = durable(rows.join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    groups = rows.groupBy("label").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("group_size"))
-    return rows.join(groups.where("group_size > 1"), "label", "left").select("doc_id", "node", F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"))
+    # a text may have very many rows, and a group very many texts
+    rows = durable(sized_join(rows, labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    groups = durable(rows.groupBy("label").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("group_size")).where("group_size > 1"), "text-groups")
+    return sized_join(rows, groups, "label", "left").select("doc_id", "node", "label", F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"))
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """The documents without all but one of each group, with their columns; the one of least doc_id stays."""
+    """The documents without all but one of each group, with their columns; the one of least doc_id stays, null ids last."""
     rows = group_documents(documents)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
     # a row is told by its id and its text; where several stay alike, one is taken
-    first = rows.groupBy("group_id").agg(F.min(F.struct("doc_id", "node")).alias("m"))
-    marked = durable(rows.join(first, "group_id", "left").select("doc_id", "node", (F.struct("doc_id", "node").eqNullSafe(F.col("m")) | F.col("m").isNull()).alias("stays")), "marked")
+    first = durable(rows.where("group_size > 1").groupBy("label").agg(F.min(place).alias("first")), "first-rows")
+    marked = sized_join(rows.select("doc_id", "node", "label"), first, "label")
+    marked = durable(marked.select("doc_id", "node", place.eqNullSafe(F.col("first")).alias("stays")), "marked")
+    name = fresh(documents, "row")
     row = lambda node: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex(node))
-    given = documents.withColumn("_row", row(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))))
-    named = marked.select(row(F.col("node")).alias("_row"), "stays")
-    goes = named.where("not stays").select("_row").distinct()
-    kept = sized_join(given, goes, "_row", "left_anti")
-    alike = durable(named.where("stays").groupBy("_row").count().where("count > 1").select("_row"), "alike")
+    given = documents.withColumn(name, row(F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))))
+    named = marked.select(row(F.col("node")).alias(name), "stays")
+    goes = durable(named.where("not stays").select(name).distinct(), "gone")
+    kept = sized_join(given, goes, name, "left_anti")
+    alike = durable(named.where("stays").groupBy(name).count().where("count > 1").select(name), "alike")
     if alike.limit(1).count():
-        kept = sized_join(kept, alike, "_row", "left_anti").unionByName(sized_join(kept, alike, "_row", "left_semi").dropDuplicates(["_row"]))
+        kept = sized_join(kept, alike, name, "left_anti").unionByName(sized_join(kept, alike, name, "left_semi").dropDuplicates([name]))
     return kept.select(*documents.columns)
 
 
