@@ -8,7 +8,7 @@ import numpy as np
 
 from tests.llm.conftest import DATA, documents
 from tidewell.llm import neardup
-from tidewell.llm.linking import components, link
+from tidewell.llm.linking import components, link, starred
 from tidewell.llm.neardup import drop_near_duplicates, group_documents, op4, signatures
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -113,7 +113,7 @@ def test_linking_finds_chains_within_one_bucket(spark):
         return rows.join(other, "bucket").where("node < other and group <> theirs").selectExpr("node as a", "other as b")
 
     for large in (6, 100):  # leaders until the bucket is small, or comparisons in it at once
-        labels = components(link(members, lambda p: p.where("b - a <= 1"), mates, large)).collect()
+        labels = components(link(starred(members), lambda p: p.where("b - a <= 1"), mates, large)).collect()
         got = {r.node: r.label for r in labels}
         assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}
 

@@ -46,24 +46,29 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, split: Callable | None = None, first: DataFrame | None = None) -> DataFrame:
+def starred(members: DataFrame) -> DataFrame:
+    """(bucket, a, b) of distinct rows (bucket, node): a is the bucket's least node, b every other one."""
+    least = durable(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1").select("bucket", "a"), "leaders")
+    return sized_join(members, least, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"))
+
+
+def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, split: Callable | None = None) -> DataFrame:
     """Verified pairs (a, b) that connect what all verified pairs of bucket mates would connect.
 
-    members has distinct rows (bucket, node); first, if given, further pairs (a, b), a < b, to be verified. verify takes
-    such pairs and returns those that are links. mates takes rows (bucket, node, group) of buckets of up to ``large``
-    members and returns pairs (a, b) of different groups, among them links between all groups that have any. split takes
-    rows (bucket, node) of larger buckets and returns rows of finer ones, in which similar members meet again. prune
-    takes rows (bucket, node, group) and may leave out those whose node has no link in the bucket.
+    stars has rows (bucket, a, b) as ``starred`` gives them. verify takes pairs (a, b), a < b, and returns those that are
+    links. mates takes rows (bucket, node, group) of buckets of up to ``large`` members and returns pairs (a, b) of
+    different groups, among them links between all groups that have any. split takes rows (bucket, node) of larger
+    buckets and returns rows of finer ones, in which similar members meet again. prune takes rows (bucket, node, group)
+    and may leave out those whose node has no link in the bucket.
     """
     found, most, shrinks = None, None, split is not None
     while True:
-        pairs, rows = _led(members)
-        if first is not None:
-            pairs, first = pairs.union(first.select("a", "b")), None
-        links = verify(durable(pairs.distinct(), "pairs"))
-        found = durable(links if found is None else found.union(links), "links")
+        links = durable(verify(durable(stars.select("a", "b").distinct(), "pairs")).select("a", "b"), "links")
+        # a bucket all of whose members are linked with its least one is done
+        apart = durable(stars.join(links, ["a", "b"], "left_anti").select("bucket").distinct(), "apart")
+        found = links if found is None else durable(found.union(links), "links")
         labels = components(found)
-        rows = _still_open(rows, labels)
+        rows = _still_open(sized_join(stars, apart, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
         if prune is not None:
             rows = _still_open(prune(rows).drop("group"), labels)
         sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
@@ -71,14 +76,14 @@ def link(members: DataFrame, verify: Callable, mates: Callable, large: int, prun
         if not counts["all"]:
             return found
         few = sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi")
-        found = durable(found.union(verify(durable(mates(few).distinct(), "pairs"))), "links")
+        found = durable(found.union(verify(durable(mates(few).distinct(), "pairs")).select("a", "b")), "links")
         if not counts["large"]:
             return found
         many = sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi").select("bucket", "node")
         shrinks = shrinks and (most is None or 2 * counts["most"] <= most)
         most = counts["most"]
         # where splitting tells members apart no longer, buckets stay as they are, without those already compared
-        members = durable(split(many).distinct(), "finer") if shrinks else many
+        stars = durable(starred(durable(split(many).distinct() if shrinks else many, "finer")), "stars")
 
 
 def with_homes(rows: DataFrame, size: int = HOME) -> DataFrame:
@@ -89,13 +94,6 @@ def with_homes(rows: DataFrame, size: int = HOME) -> DataFrame:
     return sized_join(rows, durable(homes, "homes"), "bucket")
 
 
-def _led(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs of each bucket's least node with all others, the rows without it)."""
-    least = durable(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1").select("bucket", "a"), "leaders")
-    led = durable(sized_join(members, least, "bucket").where("node <> a").select("bucket", "node", "a"), "members")
-    return led.select("a", F.col("node").alias("b")), led.select("bucket", "node")
-
-
 def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows (bucket, node), with their groups, of buckets that hold more than one group."""
     now = durable(sized_join(rows, labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("group")), "groups")

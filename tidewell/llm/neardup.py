@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import changes, durable, fresh, lists, map_arrow, mix, prepare, seeded, shingles, sized_join, text_slices, whole_groups, words
-from .linking import components, link
+from .linking import components, link, starred
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -264,7 +264,7 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
     def split(rows: DataFrame) -> DataFrame:
         return map_arrow(with_keys(rows).select("bucket", "node", "keys"), _split, "bucket bigint, node binary")
 
-    return components(link(durable(members, "bands"), verify, mates, large, prune, split))
+    return components(link(durable(starred(durable(members, "bands")), "stars"), verify, mates, large, prune, split))
 
 
 def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY, large: int = LARGE) -> DataFrame:
