@@ -49,7 +49,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
