@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 from tests.llm.conftest import documents, sample
-from tidewell.llm.common import utf8
-from tidewell.llm.fingerprint import K, S, anchors, fingerprints, likeness, op10, read, spell, syncmers
+from tidewell.llm.common import seeded, utf8
+from tidewell.llm.fingerprint import K, S, anchors, fingerprints, likeness, op10, read, spell, syncmers, with_successors
 
 ODD = ["", None, "a", "same text " * 30, "same text " * 30, "é" * 200, "x" * 5000, "word " * 3000, "short", "ab"]
 
@@ -74,3 +74,43 @@ def test_op10_one_none_ties_and_clashing_names(spark, tables):
     assert op10(spark, tables(documents=one.limit(0))).count() == 0
     ties = documents(spark, [(1, "b"), (1, "b"), (1, None), (None, "z")]).selectExpr("*", "1 as part", "2 as place")
     assert sorted(r.n_chars for r in op10(spark, tables(documents=ties)).collect()) == [0, 1, 1, 1]
+
+
+def test_successors_do_not_depend_on_exchange_reuse(spark):
+    given = documents(spark, [(i * 37 % 1009, f"text {i} " * (i % 40)) for i in range(1009)] + [(None, "last")]).repartition(7)
+    asked = {"spark.sql.exchange.reuse": "false", "spark.sql.shuffle.partitions": "61"}
+    was = {k: spark.conf.get(k) for k in asked}
+    rows = sorted(given.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0)))
+    try:
+        for k, v in asked.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r for r in with_successors(given).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(rows)
+    for r, following in zip(rows, [*rows[1:], rows[0]]):
+        t, n = r.text, len(r.text) // 3
+        assert got[r.doc_id].edited_sha256 == hashlib.sha256((t[: len(t) - n] + following.text[:n]).encode()).hexdigest()
+
+
+def test_a_text_of_very_many_equal_anchors_is_like_itself():
+    raw = np.full((1 << 20) + 70_000, 120, np.uint8)  # more than one block, and more than 2**20 anchors
+    marks = anchors(raw, np.array([0, len(raw)]))
+    assert marks[2][0] == len(raw) - K + 1 and likeness(marks, marks).tolist() == [1.0]
+
+
+def test_anchors_are_closed_syncmers_by_definition():
+    # inner strings in the order of a hash that is worked out here byte by byte
+    base, word = 0xD6E8FEB86659FD93, [int(x) for x in seeded(256, 37)]
+    full = (1 << 64) - 1
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 100, 1500).astype(np.uint8)
+
+    def order(inner):
+        h = sum(word[c] * pow(base, i, 1 << 64) for i, c in enumerate(inner)) & full
+        return (h ^ h >> 32) * base & full
+
+    small = [order(raw[i : i + S].tolist()) for i in range(len(raw) - S + 1)]
+    windows = [small[i : i + K - S + 1] for i in range(len(raw) - K + 1)]
+    assert syncmers(raw, np.array([0, len(raw)])).tolist() == [i for i, w in enumerate(windows) if min(w) in (w[0], w[-1])]

@@ -9,9 +9,10 @@ fingerprints is positional: the n-th occurrence of a hash in one is matched with
 are counted for each difference of positions, and twice the largest count is divided by the number of
 anchors of both. Two empty fingerprints have a likeness of 1.
 
-How it runs: documents are range-partitioned once by descending doc_id and sorted; each task streams its rows and
-sees every row's successor but the last one's. The first and last rows of each partition, two a partition whatever
-the input, are paired in a small second branch over the same shuffle.
+How it runs: a pass over the ids alone cuts them into stated ranges, so that a row's range is the same in every plan
+that asks for it. Documents are dealt by range and sorted by descending doc_id; each task streams its rows and sees every
+row's successor but the last one's. The first and last rows of each range, two a range whatever the input, are paired in
+a small second branch.
 
 Edge cases: null is the empty text, with an empty fingerprint. Null ids come last; rows with equal ids are ordered by text,
 null first; equal rows are returned once each. A lone document is its own successor. Only doc_id and text are read.
@@ -22,11 +23,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, map_arrow, powers, prepare, seeded, sliding_min, span_hashes, text_slices, utf8
+from .common import BLOCK_BYTES, changes, map_arrow, powers, prepare, seeded, sliding_min, span_hashes, text_slices, utf8
 
 K = 48
 S = 16
@@ -88,30 +90,36 @@ def read(fingerprints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return total - np.repeat(begun, counts), digits[:, 1] << 18 | digits[:, 2] << 12 | digits[:, 3] << 6 | digits[:, 4], counts
 
 
-def _keyed(side: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of (row, hash, occurrence) and their positions."""
+def _keyed(side: tuple, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of (row, hash, occurrence), the last of ``width`` bits, and their positions."""
     position, hashes, counts = side
     key = np.repeat(np.arange(len(counts)), counts) << 24 | hashes
     order = np.argsort(key, kind="stable")
     key = key[order]
     index = np.arange(len(key))
-    new = np.append(True, key[1:] != key[:-1])[: len(key)]
-    nth = index - np.maximum.accumulate(np.where(new, index, 0))
-    return key << 20 | np.minimum(nth, (1 << 20) - 1), position[order]
+    nth = index - np.maximum.accumulate(np.where(changes(key), index, 0))
+    return key << width | nth, position[order]
 
 
 def likeness(a: tuple, b: tuple) -> np.ndarray:
     """Of each row's two fingerprints, each side as (position, hash, counts)."""
-    (ka, pa_), (kb, pb) = _keyed(a), _keyed(b)
+    # an occurrence number is less than the longer side's anchors; with the 24 bits of a hash that leaves enough for the rows of a batch
+    width = max([1, *a[2].tolist(), *b[2].tolist()]).bit_length()
+    if len(a[2]).bit_length() + 24 + width > 63:
+        half = len(a[2]) // 2
+        return np.concatenate([likeness(_take(a, r), _take(b, r)) for r in (slice(0, half), slice(half, len(a[2])))])
+    (ka, pa_), (kb, pb) = _keyed(a, width), _keyed(b, width)
     at = np.searchsorted(ka, kb)
     ok = np.flatnonzero(at < len(ka))
     ok = ok[ka[at[ok]] == kb[ok]]
     both = a[2] + b[2]
     most = np.zeros(len(both), np.int64)
     if len(ok):
-        shift = np.sort((kb[ok] >> 44) << 36 | (pa_[at[ok]] - pb[ok] + (1 << 35)))
-        first = np.flatnonzero(np.append(True, shift[1:] != shift[:-1]))
-        np.maximum.at(most, shift[first] >> 36, np.diff(np.append(first, len(shift))))
+        row, shift = kb[ok] >> (24 + width), pa_[at[ok]] - pb[ok]
+        order = np.lexsort((shift, row))
+        row, shift = row[order], shift[order]
+        first = np.flatnonzero(changes(row, shift))
+        np.maximum.at(most, row[first], np.diff(np.append(first, len(shift))))
     return np.where(both > 0, 2 * most / np.maximum(both, 1), 1.0)
 
 
@@ -158,20 +166,48 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return map_arrow(documents.select("doc_id", "text"), run, f"doc_id {kind}, fingerprint string")
 
 
+def _ranges(documents: DataFrame) -> Column:
+    """The number of the range of ids that a row falls in, by descending doc_id, null last; there are as many as shuffle partitions.
+
+    The driver gets one id for each.
+    """
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = documents.select("doc_id").where("doc_id is not null").repartitionByRange(parts, F.desc("doc_id"))
+    least = sorted(r.least for r in ids.groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("least")).collect())
+    if not least:
+        return F.lit(0)
+    bounds = np.array(least[1:], None if isinstance(least[0], int) else object)
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series) -> pd.Series:
+        return pd.Series(len(bounds) - np.searchsorted(bounds, ids.to_numpy(), "right"))
+
+    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(number(F.coalesce(F.col("doc_id"), F.lit(least[0]).cast(documents.schema["doc_id"].dataType))))
+
+
 def with_successors(documents: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its edited text, and its likeness to that and to the next document."""
     spark = documents.sparkSession
     prepare(spark)
     kind = documents.schema["doc_id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")]
-    # a stated number keeps both branches on the same partitions; ids alone are ranged over, as they are all but unique
-    dealt = documents.select("doc_id", "text").repartitionByRange(parts, order[0]).sortWithinPartitions(*order)
+    dealt = documents.select("doc_id", "text", _ranges(documents).alias("part")).repartitionById(parts, "part")
+    dealt = dealt.sortWithinPartitions("part", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
 
-    def inner(batches):
-        held = None  # the last row so far: ids, text, anchors
+    def runs(batches):
+        """Slices of batches, none over two ranges, with the range's number."""
         for batch in batches:
-            for part, raw, at in text_slices(batch):
+            part = batch.column(2).to_numpy()
+            edges = np.append(np.flatnonzero(changes(part)), len(part)).tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield int(part[a]), batch.slice(a, b - a)
+
+    def inner(batches):
+        held, last = None, None  # the last row so far: ids, text, anchors; and its range
+        for number, run in runs(batches):
+            if number != last:
+                held, last = None, number
+            for part, raw, at in text_slices(run):
                 ids, texts, marks = part.column(0), _texts(part), anchors(raw, at)
                 if held:
                     ids, texts, marks = pa.concat_arrays([held[0], ids]), [held[1], *texts], _join(held[2], marks)
@@ -181,14 +217,20 @@ def with_successors(documents: DataFrame) -> DataFrame:
                 held = ids.slice(n, 1), texts[n], _take(marks, slice(n, n + 1))
 
     def edges(batches):
-        first = last = None
-        for batch in batches:
-            if batch.num_rows:
-                first = first or batch.slice(0, 1)
-                last = batch.slice(batch.num_rows - 1, 1)
-        if last is not None:
+        first = last = now = None
+
+        def give():
             for place, row in ((0, first), (1, last)):
-                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), row.column(2), pa.array([place], pa.int32())], ["doc_id", "text", "part", "place"])
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([place], pa.int32())], ["doc_id", "text", "part", "place"])
+
+        for number, run in runs(batches):
+            if number != now:
+                if now is not None:
+                    yield from give()
+                first, now = run.slice(0, 1), number
+            last = run.slice(run.num_rows - 1, 1)
+        if now is not None:
+            yield from give()
 
     def outer(batches):
         begun = ended = None
@@ -209,7 +251,7 @@ def with_successors(documents: DataFrame) -> DataFrame:
         return _pairs(ids, texts, anchors(raw, at))
 
     schema = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    ends = dealt.withColumn("part", F.spark_partition_id()).mapInArrow(edges, f"doc_id {kind}, text string, part int, place int")
+    ends = dealt.mapInArrow(edges, f"doc_id {kind}, text string, part int, place int")
     return dealt.mapInArrow(inner, schema).unionAll(ends.repartition(1).sortWithinPartitions("part", "place").mapInArrow(outer, schema))
 
 
