@@ -5,12 +5,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import documents, sample
 from tidewell.llm.bpe import Automaton, coder, encode_decode, op8, tokenizer_spec
-from tidewell.llm.presplit import PLAIN
+from tidewell.llm.common import utf8
+from tidewell.llm.presplit import plain_rows
 from tidewell.llm.tokenfile import Block, op2, pack, read_tokens, write_tokens
 
 ODD = ["", None, " ", "'s", "it's ''s 'sound 'll'VE", "<|endoftext|> a <|startoftext|>x", "é é", "ΣΣ ΑΣ", "日本語 text", "ﬁ İ", "a b\u0085c\x1fd", "same", "same", "x" * 30000, "ab " * 20000, "\U0001f600 1١²"]
@@ -28,24 +30,37 @@ def expected(tok, text):
     return tok.encode(text or "", add_special_tokens=False).ids
 
 
-def test_plain_code_points_split_as_in_the_library(library):
+def test_code_points_split_as_in_the_library(library):
     rnd = random.Random(5)
-    points = [c for c in range(1, PLAIN)]
-    texts = ["".join(chr(rnd.choice(points)) for _ in range(60)) for _ in range(60)] + ["".join(rnd.choice("''strevmdlA 1.") for _ in range(30)) for _ in range(300)] + ["a" + chr(c) + "b" for c in points]
-    auto, _ = coder(tokenizer_spec())
+    auto, split = coder(tokenizer_spec())
+    points = [c for c in [*range(1, 0x3400), *range(0xA000, 0xAC10), *range(0xF900, 0x10100), *range(0x1D100, 0x1D800, 3), *range(0x1F300, 0x1F700)] if not 0xD800 <= c < 0xE000]
+    texts = ["".join(chr(rnd.choice(points)) for _ in range(60)) for _ in range(600)]
+    texts += ["".join(rnd.choice("''strevmdlA 1.’“é\u0301ñ") for _ in range(30)) for _ in range(300)] + ["a" + chr(c) + "b" for c in points[::5]]
+    texts += ["각각", "क़ि क़", "Å Å Ω", "ǅ ŉ ẞ ΐ", "ﬀ ΑΣ Σ", "it’s “quoted” — dash… Привет Мир ΕΛΛΑΔΑ 日本語"]
     for t in texts:
         pieces = [w for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(t))]
-        split = coder(tokenizer_spec())[1]
-        import pyarrow as pa
+        raw, at = utf8(pa.array([t]))
+        assert plain_rows(raw, at)[0]
+        numbers, counts = split.plain(raw, at)
+        assert counts[0] == len(pieces), repr(t)
+        assert split.ids.gather(numbers)[0].tolist() == expected(library, t), repr(t)
 
-        from tidewell.llm.common import utf8
-        from tidewell.llm.presplit import plain_rows
 
-        raw, at = utf8(pa.array([t]))
-        if plain_rows(raw, at)[0]:
-            numbers, counts = split.plain(raw, at)
-            assert counts[0] == len(pieces), repr(t)
-            assert split.ids.gather(numbers)[0].tolist() == expected(library, t), repr(t)
+def test_odd_texts_among_plain_ones(library):
+    split = coder(tokenizer_spec())[1]
+    texts = ["plain one", "e\u0301 odd", "", "İ", "plain two’s", "x\u0301"]
+    raw, at = utf8(pa.array(texts))
+    numbers, counts = split.plain(raw, at)
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, ends - counts, ends):
+        assert split.ids.gather(numbers[a:b])[0].tolist() == expected(library, t), repr(t)
+
+
+def test_long_pieces_encode_as_in_the_library(library):
+    auto = coder(tokenizer_spec())[0]
+    rnd = random.Random(8)
+    for t in ("x" * 3000, "".join(rnd.choice("etaoinshrdlu") for _ in range(5000)), "!?" * 900, "日本語" * 500):
+        assert auto.encode([t, "short"])[0].tolist() == expected(library, t) + expected(library, "short")
 
 
 def test_op8_equals_the_library(spark, tables, library):

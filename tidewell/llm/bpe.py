@@ -32,6 +32,8 @@ from .presplit import Presplit, byte_letters, plain_rows
 END = "</w>"
 TOKENIZER = "word_bpe_49k.json"
 _SHIFT = 20
+#: Bytes from which on a piece is encoded by itself.
+LONG = 1024
 
 
 class Automaton:
@@ -149,6 +151,7 @@ class Automaton:
         self.nodes = Seen()
         self.nodes.add(np.fromiter((k * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for k in nodes), np.uint64, len(nodes)))
         self.child = np.fromiter(nodes.values(), np.int64, len(nodes))
+        self.arcs: dict[int, int] | None = None  # the trie as a dictionary, for long pieces
 
     def _step(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         got = self.nodes.find((node * 512 + symbol).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -168,6 +171,11 @@ class Automaton:
         counts = np.zeros(len(blobs), np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         i = 0
+        while len(order) and sizes[order[-1]] > LONG:
+            k, order = int(order[-1]), order[:-1]
+            ids = self._encode_long(blobs[k])
+            counts[k] = len(ids)
+            parts.append((ids, np.full(len(ids), k)))
         while i < len(order):
             longest = int(sizes[order[min(len(order), i + block) - 1]])
             j = min(len(order), i + max(1, min(block, (block * 64) // max(1, longest))))
@@ -210,6 +218,34 @@ class Automaton:
         kept = out >= 0
         return out[kept], kept.sum(1)
 
+    def _encode_long(self, blob: bytes) -> np.ndarray:
+        """One piece, step by step: the same transitions as _encode, without arrays of the steps."""
+        if self.arcs is None:
+            held = self.nodes.numbers >= 0
+            inverse = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+            self.arcs = {k * inverse & (1 << 64) - 1: int(self.child[n]) for k, n in zip(self.nodes.keys[held].tolist(), self.nodes.numbers[held].tolist())}
+        arcs, size = self.arcs, len(blob)
+        symbols = list(blob)
+        symbols[-1] += 256
+        last = np.full(size + 1, len(self.alive), np.int64)
+        for i in range(size):
+            node, found = 0, []
+            for j in range(i, size):
+                node = arcs.get(node * 512 + symbols[j], -1)
+                if node < 0:
+                    break
+                if self.token[node] >= 0:
+                    found.append((j + 1, self.token[node]))
+            if found:
+                at, token = (np.array(c) for c in zip(*found))
+                ok = self.follows(np.full(len(token), last[i]), token)
+                last[at[ok]] = token[ok]
+        out, at = [], size
+        while at:
+            out.append(int(last[at]))
+            at -= int(self.length[last[at]])
+        return np.array(out[::-1], np.int32)
+
     def labels_of(self, ids: np.ndarray, counts: np.ndarray) -> list[tuple[str, str]]:
         """For each piece, its ids in decimal and its labels, each joined by spaces."""
         names, out, at, ids = self.labels, [], 0, ids.tolist()

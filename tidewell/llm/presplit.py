@@ -1,40 +1,79 @@
 """Splitting texts into the pieces that a word tokenizer's merges stay within, many texts at a time.
 
-The pieces are those of the public word tokenizer's own normaliser and pre-tokenizer: NFC, white space
-to a space, lower case, then the pattern below. Texts of code points under U+0180 are split on arrays
-(there NFC changes nothing and lower case is one to one); all other texts, and those with a special token's string
-in them, go through the tokenizers library's own normaliser and pre-tokenizer. Either way the result is
-that of the library.
+The pieces are those of the public word tokenizer's own normaliser and pre-tokenizer: NFC, white space to a space, lower
+case, then the pattern below. Texts are split on arrays of code points, for which a table says what each is. The table
+is filled by the tokenizers library, one code point at a time as they occur. In most texts each code point is normalised
+by itself, by the same table; a text with one that is not (a combining mark, one that becomes several) goes through the
+library's normaliser first. Only texts with a special token's string in them go through the library's own
+pre-tokenizer. Either way the result is that of the library. Pieces are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
 from .common import Flat, Seen, seeded, span_hashes
 
-#: The pattern and the limit of code points under which arrays are used.
+#: Fixed value: the pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = 0x180
+#: All code points.
+POINTS = 0x110000
 #: Pieces that a process remembers at most; beyond that it starts anew, which changes no result.
 REMEMBERED = 3_000_000
 
-SPACE, LETTER, NUMBER, OTHER = range(4)
+SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
+_CODES = seeded(POINTS, 23)
 
 
-def _kind(c: str) -> int:
-    return SPACE if regex.match(r"\s", c) else LETTER if regex.match(r"\p{L}", c) else NUMBER if regex.match(r"\p{N}", c) else OTHER
+class Points:
+    """What each code point is, its normal form, and whether it is normalised by itself in any text."""
 
+    def __init__(self, library: Tokenizer):
+        self.library = library
+        self.kind = np.full(POINTS, UNKNOWN, np.uint8)
+        self.lower = np.arange(POINTS, dtype=np.uint32)
+        self.alone = np.zeros(POINTS, bool)
+        self.joins: set[int] | None = None
 
-_LOWER = np.array([ord(chr(i).lower()) if len(chr(i).lower()) == 1 else i for i in range(PLAIN)], np.uint32)
-_KIND = np.array([_kind(chr(i)) for i in range(PLAIN)], np.uint8)
-_CODES = seeded(PLAIN, 23)
+    def learn(self, codes: np.ndarray) -> None:
+        """Fills the table for code points that it lacks."""
+        new = codes[self.kind[codes] == UNKNOWN]
+        if len(new):
+            if self.joins is None:
+                self.joins = _joining()
+            for c in np.unique(new).tolist():
+                self._learn(c)
+
+    def _learn(self, c: int) -> None:
+        # between a letter and a sign, a letter clings to the one, a sign to the other, white space is dropped
+        pieces = [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(f"a{chr(c)}!")]
+        if len(pieces) == 3:
+            self.kind[c] = NUMBER
+        elif pieces[0] != "a":
+            self.kind[c] = LETTER
+        else:
+            self.kind[c] = SPACE if pieces[1] == "!" else OTHER
+        normal = self.library.normalizer.normalize_str(chr(c))
+        if len(normal) == 1 and c not in self.joins and not unicodedata.combining(chr(c)):
+            self.alone[c], self.lower[c] = True, ord(normal)
+            if ord(normal) != c:
+                self._learn(ord(normal))
+
+
+def _joining() -> set[int]:
+    """Code points that a composition joins to the one before: seconds of canonical pairs, and the vowels and finals of Hangul."""
+    out = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    for c in range(POINTS):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and parts[0][0] != "<":
+            out.add(int(parts[1], 16))
+    return out
 
 
 def byte_letters() -> list[str]:
@@ -45,28 +84,45 @@ def byte_letters() -> list[str]:
 
 
 def plain_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which texts the arrays can split."""
-    odd = raw >= 0xC6
-    if len(raw) > 1:
-        odd[:-1] |= ((raw[:-1] == 0xC4) & (raw[1:] == 0xB0)) | ((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))
-    at = np.flatnonzero(odd)
+    """Which texts the arrays can split: those without what a special token begins with."""
     ok = np.ones(len(offsets) - 1, bool)
-    if len(at):
+    if len(raw) > 1:
+        at = np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))
         ok[np.searchsorted(offsets, at, "right") - 1] = False
     return ok
 
 
-def split_plain(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased code points, start and end of each piece among them, and the number of pieces of each text."""
+def _code_points(raw: np.ndarray) -> np.ndarray:
+    return np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+def _edges(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where each text begins, in code points."""
     chars = np.zeros(len(raw) + 1, np.int64)
     np.cumsum((raw & 0xC0) != 0x80, out=chars[1:])
-    edges = chars[offsets]
-    codes = _LOWER[np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)]
+    return chars[offsets]
+
+
+def split_plain(raw: np.ndarray, offsets: np.ndarray, points: Points) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised code points, start and end of each piece among them, and the number of pieces of each text."""
+    codes = _code_points(raw)
+    points.learn(codes)
+    edges = _edges(raw, offsets)
+    odd = np.flatnonzero(~points.alone[codes])
+    if len(odd):
+        parts = np.split(codes, edges[1:-1])
+        for r in np.unique(np.searchsorted(edges, odd, "right") - 1).tolist():
+            normal = points.library.normalizer.normalize_str(raw[offsets[r] : offsets[r + 1]].tobytes().decode("utf-8", "replace"))
+            parts[r] = np.frombuffer(normal.encode("utf-32-le"), np.uint32)
+        edges = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        codes = np.concatenate(parts)
+        points.learn(codes)
+    codes = points.lower[codes]
     n = len(codes)
     if not n:
         none = np.zeros(0, np.int64)
         return codes, none, none, np.zeros(len(offsets) - 1, np.int64)
-    kind = _KIND[codes]
+    kind = points.kind[codes]
     edge = np.zeros(n + 1, bool)
     edge[edges] = True
     edge[n] = True
@@ -105,11 +161,13 @@ class Presplit:
     def __init__(self, spec: str, encode: Callable, notes: Callable | None = None):
         self.spec, self.encode, self.notes = spec, encode, notes
         self.library = Tokenizer.from_str(spec)
+        self.points = Points(self.library)
         read = json.loads(spec)
         own = read.get("pre_tokenizer") or {}
         first = (own.get("pretokenizers") or [{}])[0]
         self.known = first.get("pattern", {}).get("Regex") == PATTERN and read["model"].get("end_of_word_suffix") == "</w>"
         self.special = {t["content"]: t["id"] for t in read.get("added_tokens", [])}
+        self.known &= all(t.startswith("<|") for t in self.special)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         letters = byte_letters()
         self.to_byte = {c: b for b, c in enumerate(letters)}
@@ -138,7 +196,7 @@ class Presplit:
 
     def plain(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of plain texts, and how many each text has."""
-        codes, starts, ends, counts = split_plain(raw, offsets)
+        codes, starts, ends, counts = split_plain(raw, offsets, self.points)
         hashes = span_hashes(codes, starts, ends, _CODES)
         return self.number(hashes, lambda i: codes[starts[i] : ends[i]].tobytes().decode("utf-32-le")), counts
 
