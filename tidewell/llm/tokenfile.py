@@ -1,19 +1,21 @@
-"""Operator 2, token-id output: blocks of ids under a Re-Pair grammar, with random access.
-
-Documents are range-partitioned and sorted by id; each task is a shard that encodes its texts with the
-tokenizers library (every distinct piece of text once a process), ends each document with ``end_id`` and writes
-blocks of at most ``BLOCK_IDS`` ids, or one document. In each block the pairs of neighbouring symbols that are
-frequent become nonterminals, round after round; pairs never cross a document's end. A block holds
-the rules, the number of ids each expands to, where each document starts in symbols and ids, and the symbols, so
-that any range of ids is decoded without the rest. Blocks are rows of a Parquet table in the shared folder: Spark's
-own commit makes lost or repeated tasks harmless.
-
-Block layout, little-endian: 4 bytes "RPG1"; six unsigned 32-bit numbers: first nonterminal, rules, symbols,
-documents, bytes a symbol (2 or 4), 0; the rules (two 32-bit numbers each); their expansion lengths (32 bits); the
-symbol and the id at which each document starts, and the totals (64 bits each); the symbols.
-
-Edge cases: a null or empty text is the end id alone. Null ids come first. Rows with equal ids are ordered by
-text, and equal rows come out once each. Only doc_id and text are read. An empty table gives an empty result.
+"""Operator 2, token-id output: shards of ids under a Re-Pair grammar, with random access.
+
+Documents are range-partitioned and sorted by id; each task encodes its texts with the tokenizers library (every distinct
+piece of text once a process), ends each document with ``end_id`` and cuts its documents into shards of at most
+``BLOCK_IDS`` ids, or one document, each a block of the file. In each shard frequent pairs of neighbouring symbols become
+nonterminals, round after round: a round takes the pairs that occur at least so many times, the more frequent first where
+two overlap, and the next round asks for an eighth of that, down to two. It ends when no pair occurs twice without
+overlapping itself; pairs never cross a document's end. A block holds the rules, the number of ids each expands to, where
+each document starts in symbols and ids, and the symbols, so that any range of ids is decoded without the rest. Blocks
+are rows of a Parquet table in the shared folder: Spark's own commit makes lost or repeated tasks harmless.
+
+Block layout, little-endian: 4 bytes "RPG2"; six unsigned 32-bit numbers: first nonterminal, rules, symbols, documents,
+bits a symbol, bits a length; the symbol and the id at which each document starts, and the totals (64 bits each); then
+packed, each from a whole byte on: the two symbols of each rule, the rules' expansion lengths, the symbols.
+
+Edge cases: a null or empty text is the end id alone. Null ids come first. Rows with equal ids are ordered by text, and
+equal rows come out once each. Only doc_id and text are read. An empty table gives an empty result. Pieces of texts are
+told apart by 64-bit hashes (see presplit).
 """
 
 from __future__ import annotations
@@ -30,77 +32,125 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from .bpe import END, tokenizer_spec
-from .common import map_arrow, new_path, prepare, text_slices
+from .common import changes, map_arrow, new_path, prepare, text_slices
 from .presplit import Presplit, plain_rows
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
-ROUNDS = 3
-#: Pairs that become nonterminals in a round at most, and how often each must occur.
-PAIRS = 4096
-FREQUENT = 32
-_MAGIC = b"RPG1"
-_SLOTS = 1 << 16
+#: Each round asks for pairs that occur this much less often.
+LESS = 8
+_MAGIC = b"RPG2"
 
 
-def _slot(keys: np.ndarray) -> np.ndarray:
-    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.int64)
-
-
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first nonterminal, rules, expansion lengths, symbols, last symbol of each document marked).
 
     ``ends`` marks the last id of each document.
     """
     base = int(ids.max()) + 1 if len(ids) else 1
-    symbols, rules, lengths = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), np.zeros(0, np.int64)
-    for _ in range(rounds):
-        if len(symbols) < 2:
+    symbols, ends, lengths, rules = ids.astype(np.uint32), ends.copy(), np.ones(base, np.int64), [np.zeros((0, 2), np.int64)]
+    # where a pair that may repeat starts: one that occurs once will not occur again, unless it has a new symbol
+    live, floor = np.ones(len(symbols), bool), 0
+    while len(symbols) > 1:
+        inner = np.flatnonzero(live[:-1] & ~ends[:-1])
+        keys = (symbols[inner].astype(np.uint64) << np.uint64(32)) | symbols[inner + 1]
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(changes(keys))
+        counts = np.diff(np.append(first, len(keys)))
+        where = inner[order]
+        live[where[np.repeat(counts == 1, counts)]] = False
+        apart = _apart(keys, where, first, counts)
+        most = int(apart.max(initial=0))
+        if most < 2:
             break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        inner = ~ends[:-1]
-        ordered = np.sort(keys[inner])
-        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(first, len(ordered)))
-        often = np.flatnonzero(counts >= FREQUENT)
-        if not len(often):
-            break
-        often = often[np.argsort(-counts[often], kind="stable")[: min(PAIRS, max(0, (1 << 16) - base - len(rules)) or PAIRS)]]
-        chosen = ordered[first[often]]
-        table, number = np.zeros(_SLOTS, np.uint64), np.full(_SLOTS, -1, np.int64)
-        _, own = np.unique(_slot(chosen), return_index=True)  # of pairs that share a slot the most frequent is taken
-        chosen = chosen[np.sort(own)]
-        table[_slot(chosen)] = chosen
-        number[_slot(chosen)] = np.arange(len(chosen))
-        slot = _slot(keys)
-        at = np.flatnonzero((table[slot] == keys) & (number[slot] >= 0) & inner)
-        new_run = np.append(True, at[1:] != at[:-1] + 1)
-        place = np.arange(len(at))
-        at = at[(place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0]
-        parts = chosen[:, None] >> np.array([32, 0], np.uint64) & np.uint64(0xFFFFFFFF)
-        spelt = np.concatenate([np.ones(base, np.int64), lengths])
-        lengths = np.concatenate([lengths, spelt[parts.astype(np.int64)].sum(1)])
-        symbols = symbols.copy()
-        symbols[at] = base + len(rules) + number[slot[at]]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        ends = ends.copy()
+        floor = max(2, min(most, floor or most) // LESS)
+        chosen = np.flatnonzero(apart >= floor)
+        chosen = chosen[np.argsort(-apart[chosen], kind="stable")]
+        at, rank, taken = _places(where, first, counts, chosen, len(symbols))
+        pairs = keys[first[chosen[taken]]]
+        pairs = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
+        number = np.cumsum(taken) - 1 + len(lengths)
+        symbols[at] = number[rank]
+        rules.append(pairs)
+        lengths = np.concatenate([lengths, lengths[pairs].sum(1)])
         ends[at] = ends[at + 1]
-        symbols, ends = symbols[keep], ends[keep]
-        rules = np.concatenate([rules, parts.astype(np.uint32)])
-    return base, rules, lengths, symbols, ends
-
-
-def pack(ids: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> bytes:
+        stay = np.ones(len(symbols), bool)
+        stay[at + 1] = False
+        symbols, ends, live = symbols[stay], ends[stay], live[stay]
+        now = at - np.arange(len(at))
+        live[now] = True
+        live[np.maximum(now - 1, 0)] = True
+    return base, np.concatenate(rules), lengths[base:], symbols, ends
+
+
+def _apart(keys: np.ndarray, where: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each pair occurs without overlapping itself; only a pair of equal symbols can."""
+    out = counts.copy()
+    both = np.flatnonzero(keys >> np.uint64(32) == keys & np.uint64(0xFFFFFFFF))
+    if len(both):
+        order = np.lexsort((where[both], keys[both]))
+        key, at = keys[both][order], where[both][order]
+        new = changes(key) | np.append(True, at[1:] != at[:-1] + 1)
+        run = np.flatnonzero(new)
+        halves = (np.diff(np.append(run, len(at))) + 1) // 2
+        pair = np.searchsorted(first, both[order][run], "right") - 1
+        out[np.unique(pair)] = 0
+        np.add.at(out, pair, halves)
+    return out
+
+
+def _places(where: np.ndarray, first: np.ndarray, counts: np.ndarray, chosen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending places at which chosen pairs are replaced, the rank of the pair at each, which of the chosen are).
+
+    ``where`` holds the places of all pairs, pair after pair; chosen pairs come in the order of their ranks. Of pairs
+    that overlap the one of lower rank is replaced, so the first always is; each that is replaced is so twice or more.
+    """
+    none = len(chosen)
+    group = np.full(len(first), none, np.int64)
+    group[chosen] = np.arange(none)
+    rank = np.full(n + 1, none, np.int64)
+    rank[where] = np.repeat(group, counts)
+    here = rank[:-1]
+    at = np.flatnonzero((here < none) & (here <= np.append(none, rank[:-2])) & (here <= rank[1:]))
+    index = np.arange(len(at))
+    new = np.append(True, at[1:] != at[:-1] + 1)[: len(at)]
+    at = at[(index - np.maximum.accumulate(np.where(new, index, 0))) % 2 == 0]
+    taken = np.bincount(rank[at], minlength=none + 1)[:none] >= 2
+    at = at[taken[rank[at]]]
+    return at, rank[at], taken
+
+
+def packed(values: np.ndarray, bits: int) -> bytes:
+    """The values with so many bits each, the lowest first."""
+    values = values.astype(np.uint64).ravel()
+    out = np.empty((len(values), bits), np.uint8)
+    for b in range(bits):
+        out[:, b] = (values >> np.uint64(b)) & np.uint64(1)
+    return np.packbits(out.ravel(), bitorder="little").tobytes()
+
+
+def unpacked(data: bytes, at: int, bits: int, first: int, last: int) -> np.ndarray:
+    """Values from ``first`` up to ``last`` of those packed from byte ``at`` on; only their bytes are read."""
+    lo, hi = first * bits, last * bits
+    held = np.unpackbits(np.frombuffer(data, np.uint8, (hi + 7) // 8 - lo // 8, at + lo // 8), bitorder="little")
+    held = held[lo % 8 : lo % 8 + hi - lo].reshape(last - first, bits)
+    out = np.zeros(last - first, np.int64)
+    for b in range(bits):
+        out |= held[:, b].astype(np.int64) << b
+    return out
+
+
+def pack(ids: np.ndarray, counts: np.ndarray) -> bytes:
     """The block of documents of so many ids each; each has one at least."""
     ends = np.zeros(len(ids), bool)
     ends[np.cumsum(counts) - 1] = True
-    base, rules, lengths, symbols, ends = compress(ids, ends, rounds)
-    width = 2 if base + len(rules) <= 1 << 16 else 4
+    base, rules, lengths, symbols, ends = compress(ids, ends)
+    bits, wide = (base + len(rules)).bit_length(), int(lengths.max(initial=1)).bit_length()
     starts = np.concatenate([[0], np.flatnonzero(ends) + 1])
     index = np.stack([starts, np.concatenate([[0], np.cumsum(counts)])], 1).astype("<u8")
-    head = _MAGIC + struct.pack("<6I", base, len(rules), len(symbols), len(counts), width, 0)
-    return b"".join([head, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), index.tobytes(), symbols.astype(f"<u{width}").tobytes()])
+    head = _MAGIC + struct.pack("<6I", base, len(rules), len(symbols), len(counts), bits, wide)
+    return b"".join([head, index.tobytes(), packed(rules, bits), packed(lengths, wide), packed(symbols, bits)])
 
 
 class Block:
@@ -109,41 +159,43 @@ class Block:
     def __init__(self, data: bytes):
         if data[:4] != _MAGIC:
             raise ValueError("not a block of token ids")
-        self.base, rules, symbols, docs, width, _ = struct.unpack_from("<6I", data, 4)
-        at = 28
-        self.rules = np.frombuffer(data, "<u4", 2 * rules, at).reshape(-1, 2).astype(np.int64)
-        at += 8 * rules
-        self.lengths = np.concatenate([np.ones(self.base, np.int64), np.frombuffer(data, "<u4", rules, at)])
-        at += 4 * rules
-        index = np.frombuffer(data, "<u8", 2 * (docs + 1), at).reshape(-1, 2).astype(np.int64)
+        self.data = data
+        self.base, rules, self.n_symbols, docs, self.bits, wide = struct.unpack_from("<6I", data, 4)
+        index = np.frombuffer(data, "<u8", 2 * (docs + 1), 28).reshape(-1, 2).astype(np.int64)
         self.symbol_at, self.id_at = index[:, 0], index[:, 1]
-        self.symbols = np.frombuffer(data, f"<u{width}", symbols, at + 16 * (docs + 1))
-        self.spelt: np.ndarray | None = None
+        at = 28 + 16 * (docs + 1)
+        self.rules = unpacked(data, at, self.bits, 0, 2 * rules).reshape(-1, 2)
+        at += (2 * rules * self.bits + 7) // 8
+        self.lengths = np.concatenate([np.ones(self.base, np.int64), unpacked(data, at, wide, 0, rules)])
+        self.begin = at + (rules * wide + 7) // 8
+
+    def symbols(self, first: int, last: int) -> np.ndarray:
+        return unpacked(self.data, self.begin, self.bits, first, last)
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        if self.spelt is None:
-            made: list[np.ndarray] = []
-            for a, b in self.rules.tolist():
-                made.append(np.concatenate([made[x - self.base] if x >= self.base else np.array([x], np.uint32) for x in (a, b)]))
-            self.spelt = np.concatenate([np.arange(self.base, dtype=np.uint32), *made])
-            self.spelt_at = np.cumsum(self.lengths) - self.lengths
-        n = self.lengths[symbols]
-        ends = np.cumsum(n)
-        at = np.repeat(self.spelt_at[symbols] - ends + n, n)
-        at += np.arange(len(at))
-        return self.spelt[at]
+        """The ids; each pass replaces nonterminals by their two parts, and a rule's parts are of earlier rounds."""
+        while True:
+            long = symbols >= self.base
+            if not long.any():
+                return symbols.astype(np.uint32)
+            at = np.flatnonzero(long)
+            parts = self.rules[symbols[at] - self.base]
+            place = at + np.arange(len(at))
+            out = np.repeat(symbols, 1 + long)
+            out[place], out[place + 1] = parts[:, 0], parts[:, 1]
+            symbols = out
 
     def ids(self) -> np.ndarray:
-        return self._expand(self.symbols)
+        return self._expand(self.symbols(0, self.n_symbols))
 
     def document(self, i: int) -> np.ndarray:
-        return self._expand(self.symbols[self.symbol_at[i] : self.symbol_at[i + 1]])
+        return self._expand(self.symbols(int(self.symbol_at[i]), int(self.symbol_at[i + 1])))
 
     def range(self, first: int, last: int) -> np.ndarray:
         """The ids from ``first`` up to ``last``; only the symbols that they stand in are expanded."""
         doc = int(np.searchsorted(self.id_at, first, "right")) - 1
         stop = int(np.searchsorted(self.id_at, last, "left"))
-        symbols = self.symbols[self.symbol_at[doc] : self.symbol_at[min(stop, len(self.id_at) - 1)]]
+        symbols = self.symbols(int(self.symbol_at[doc]), int(self.symbol_at[min(stop, len(self.id_at) - 1)]))
         ends = self.id_at[doc] + np.cumsum(self.lengths[symbols])
         lo, hi = int(np.searchsorted(ends, first, "right")), int(np.searchsorted(ends, last, "left")) + 1
         begun = ends[lo - 1] if lo else self.id_at[doc]
@@ -201,7 +253,7 @@ def _encoded(raw: np.ndarray, at: np.ndarray, split: Presplit, end_id: int) -> t
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
-def write_tokens(documents: DataFrame, target: str, path: str | None = None, end_id: int = END_ID) -> None:
+def write_tokens(documents: DataFrame, target: str, path: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
     """Writes the blocks of all documents, in ascending order of doc_id by shard and block, to ``target``."""
     spark = documents.sparkSession
     prepare(spark)
@@ -225,7 +277,7 @@ def write_tokens(documents: DataFrame, target: str, path: str | None = None, end
         for batch in batches:
             for part, raw, at in text_slices(batch):
                 ids, counts = _encoded(raw, at, split, end_id)
-                if held and size + len(ids) > BLOCK_IDS:
+                if held and size + len(ids) > block_ids:
                     yield flush()
                 held.append((ids, counts, part.column(0), part.column(2)[0].as_py()))
                 size += len(ids)
