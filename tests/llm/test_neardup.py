@@ -126,3 +126,39 @@ def test_copies_are_compared_within_buckets(spark, tables, monkeypatch):
     assert grouped(op4(spark, folder).collect()) == want
     monkeypatch.setattr(neardup, "LARGE", 2)
     assert grouped(op4(spark, folder).collect()) == want
+
+
+def test_linking_splits_large_buckets(spark):
+    rnd = random.Random(5)
+    values = [*range(0, 30), *range(100, 130), *range(300, 306), 900]
+    rnd.shuffle(values)
+    members = spark.createDataFrame([(1, v) for v in values], "bucket bigint, node bigint")
+    sizes = []
+
+    def split(rows):  # neighbours meet in one of two finer buckets
+        sizes.append(rows.groupBy("bucket").count().agg({"count": "max"}).first()[0])
+        both = rows.selectExpr("bucket * 1000 + node div 8 as bucket", "node").union(rows.selectExpr("bucket * 1000 + 500 + (node + 4) div 8 as bucket", "node"))
+        return both
+
+    def mates(rows):
+        other = rows.toDF("bucket", "other", "theirs")
+        return rows.join(other, "bucket").where("node < other and group <> theirs").selectExpr("node as a", "other as b")
+
+    labels = components(link(starred(members), lambda p: p.where("b - a <= 1"), mates, 9, split=split)).collect()
+    assert {r.node: r.label for r in labels} == {v: 0 if v < 50 else 100 if v < 200 else 300 for v in values if v < 900} and sizes
+
+
+def test_groups_do_not_depend_on_how_large_a_bucket_may_be(spark):
+    docs = sample(spark, 200)
+    groups = lambda **more: sorted((r.doc_id, r.group_id, r.group_size) for r in group_documents(docs, **more).collect())
+    assert groups(large=2) == groups()
+
+
+def test_repeated_ids_with_different_texts_and_long_texts(spark):
+    rnd = random.Random(7)
+    words = [f"w{i}" for i in range(5000)]
+    big = " ".join(rnd.choice(words) for _ in range(260_000))
+    assert len(big) > 1_300_000
+    texts = [(1, "one text of some words that stand here alone"), (1, "quite another text with the same id as the first one"), (2, "one text of some words that stand here alone"), (3, big), (4, big + " end"), (None, "x y z"), (None, "x y z")]
+    kept = drop_near_duplicates(documents(spark, texts)).collect()
+    assert sorted((str(r.doc_id), len(r.text)) for r in kept) == sorted((str(i), len(t)) for i, t in [texts[0], texts[1], texts[3], texts[5]])

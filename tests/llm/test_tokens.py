@@ -13,7 +13,7 @@ from tests.llm.conftest import documents, sample
 from tidewell.llm.bpe import Automaton, coder, encode_decode, op8, tokenizer_spec
 from tidewell.llm.common import utf8
 from tidewell.llm.presplit import plain_rows
-from tidewell.llm.tokenfile import Block, op2, pack, read_tokens, write_tokens
+from tidewell.llm.tokenfile import Block, compress, op2, pack, packed, read_tokens, unpacked, write_tokens
 
 ODD = ["", None, " ", "'s", "it's ''s 'sound 'll'VE", "<|endoftext|> a <|startoftext|>x", "é é", "ΣΣ ΑΣ", "日本語 text", "ﬁ İ", "a b\u0085c\x1fd", "same", "same", "x" * 30000, "ab " * 20000, "\U0001f600 1١²"]
 
@@ -126,3 +126,47 @@ def test_op2_ids_empty_and_repeated_rows(spark, tmp_path):
     assert got == [(0, None, 2, 2), (2, 2, 1, 2), (3, 5, 2, 2), (5, 5, 2, 2)]
     write_tokens(given.limit(0), f"{tmp_path}/e")
     assert read_tokens(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_no_pair_repeats_and_rules_are_used_twice():
+    rng = np.random.default_rng(0)
+    for trial in range(150):
+        n = int(rng.integers(1, 500))
+        ids = rng.integers(0, rng.integers(1, 12), n).astype(np.int32) * (trial % 5 > 0)
+        ends = np.zeros(n, bool)
+        ends[np.append(rng.integers(0, n, 3), n - 1)] = True
+        base, rules, lengths, symbols, last = compress(ids, ends)
+        seen, places = {}, {}
+        for i, (a, b) in enumerate(zip(symbols.tolist(), symbols[1:].tolist())):
+            if not last[i] and places.get((a, b), -2) < i - 1:
+                seen[a, b], places[a, b] = seen.get((a, b), 0) + 1, i
+        assert max(seen.values(), default=0) <= 1
+        used = np.bincount(np.concatenate([symbols, rules.ravel()]).astype(int), minlength=base + len(rules))[base:]
+        assert len(np.unique(rules, axis=0)) == len(rules) and (used > 0).all()
+        assert lengths.tolist() == [len(expand(base + i, base, rules)) for i in range(len(rules))]
+
+
+def expand(symbol, base, rules):
+    return [symbol] if symbol < base else [x for part in rules[symbol - base] for x in expand(int(part), base, rules)]
+
+
+def test_packed_numbers_are_read_from_any_place():
+    rng = np.random.default_rng(3)
+    for bits in (1, 5, 8, 17, 31):
+        values = rng.integers(0, 1 << bits, 300)
+        data = b"xyz" + packed(values, bits)
+        for _ in range(30):
+            a, b = sorted(rng.integers(0, 301, 2).tolist())
+            assert (unpacked(data, 3, bits, a, b) == values[a:b]).all()
+
+
+def test_several_blocks_in_a_shard(spark, tmp_path, library):
+    texts = [(i, f"text {i} " * (i % 9)) for i in range(200)]
+    given = documents(spark, texts).selectExpr("*", "1 as shard", "2 as block", "3 as begin", "4 as payload")
+    write_tokens(given, f"{tmp_path}/t", block_ids=40)
+    assert spark.read.parquet(f"{tmp_path}/t").groupBy("shard").count().agg({"count": "max"}).first()[0] > 3
+    start = 0
+    for r in read_tokens(spark, f"{tmp_path}/t", ids=True).orderBy("doc_id").collect():
+        ids = [*expected(library, texts[r.doc_id][1]), 2]
+        assert (r.start, r.n_tokens, list(r.ids)) == (start, len(ids), ids)
+        start += len(ids)

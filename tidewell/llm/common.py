@@ -7,6 +7,7 @@ an empty one. All hashing here is of fixed constants, so results do not depend o
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,25 +25,38 @@ BLOCK_BYTES = (1 << 20) - 4096
 BROADCAST_ROWS = 200_000
 #: Ways in which the larger side is salted when the smaller one is too large to broadcast.
 SALTS = 16
+#: Folders of applications that have been made.
+_MADE: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that the operators' Arrow stages need; all are runtime settings."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    """Arrow batches of at most ``BATCH_ROWS`` rows, as texts can be long; the session keeps a smaller setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share, from spark.checkpoint.dir; one of this machine only where that is unset."""
+    """The folder that all machines share, from spark.checkpoint.dir; a folder of this machine only where there is no other machine."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the application's folder in the shared one, which goes when the application's JVM ends."""
+    at = f"{shared_dir(spark)}/tidewell-{spark.sparkContext.applicationId}"
+    if at not in _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MADE.add(at)
+    return f"{at}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
@@ -53,14 +67,6 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a durable table that no later plan reads."""
-    spark = df.sparkSession
-    for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever its case."""
     held = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable, lists, lowered, map_arrow, prepare, shingles, sized_join, text_slices, words
+from .common import durable, fresh, lists, lowered, map_arrow, prepare, shingles, sized_join, text_slices, words
 
 WINDOW = 10
 SHINGLE = 5
@@ -178,7 +178,7 @@ FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window occurs, with their columns."""
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    digest, name = F.md5(F.coalesce("text", F.lit("")).cast("binary")), fresh(documents, "digest")
     judged = decontaminate(documents.select(digest.alias("doc_id"), "text"), benchmark, window)
-    found = durable(judged.where("contaminated").select(F.col("doc_id").alias("_digest")).distinct(), "contaminated")
-    return sized_join(documents.withColumn("_digest", digest), found, "_digest", "left_anti").select(*documents.columns)
+    found = durable(judged.where("contaminated").select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return sized_join(documents.withColumn(name, digest), found, name, "left_anti").select(*documents.columns)

@@ -3,8 +3,8 @@
 The network reads segments of ``SEGMENT`` bytes forwards and backwards, each byte through a table of gate
 inputs, and gives every position a probability for each language; a document's probabilities are the mean over
 all its letter positions. It is trained in numpy by backpropagation through time, on the driver, from a bounded
-sample: of each language one passage of ``PASSAGE`` characters in each of ``BUCKETS`` hash buckets of the documents,
-got by one grouped aggregation that combines before it shuffles. Prediction is a map over whole texts.
+sample: of each language the whole text of one document in each of ``BUCKETS`` hash buckets, chosen by a grouped
+aggregation of hashes that combines before it shuffles. Prediction is a map over whole texts.
 
 Only the text and the non-null language of documents that are not held out are learned from. Held out are those whose
 crc32 of doc_id as text leaves 2 on division by 4.
@@ -28,7 +28,6 @@ from .common import map_arrow, prepare, text_slices
 HIDDEN = 8
 SEGMENT = 64
 BUCKETS = 384
-PASSAGE = 512
 STEPS = 220
 BATCH = 256
 RATE = 0.02
@@ -173,17 +172,19 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(documents: DataFrame, buckets: int = BUCKETS, passage: int = PASSAGE) -> Network | None:
+def train(documents: DataFrame, buckets: int = BUCKETS) -> Network | None:
     """A network of the languages of the documents that are not held out; None if there are none."""
     mark = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     rows = documents.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    start = 1 + F.pmod(mark, F.greatest(F.lit(1), F.length("text") - passage + 1)).cast("int")
-    drawn = rows.select("lang", mark.alias("mark"), F.substring("text", start, F.lit(passage)).alias("piece")).groupBy("lang", F.pmod("mark", F.lit(buckets)).alias("bucket")).agg(F.min(F.struct("mark", "piece")).alias("m"))
-    sample = drawn.select("lang", "bucket", "m.piece").orderBy("lang", "bucket").toArrow()
+    rows = rows.select("lang", "text", mark.alias("mark"))
+    chosen = rows.groupBy("lang", F.pmod("mark", F.lit(buckets)).alias("bucket")).agg(F.min("mark").alias("mark"))
+    # whole texts, one a bucket
+    drawn = rows.join(F.broadcast(chosen), ["lang", "mark"]).groupBy("lang", "bucket").agg(F.min("text").alias("text"))
+    sample = drawn.orderBy("lang", "bucket").toArrow()
     if not sample.num_rows:
         return None
     languages = sorted(set(sample.column("lang").to_pylist()))
-    blobs = [t.encode() for t in sample.column("piece").to_pylist()]
+    blobs = [t.encode() for t in sample.column("text").to_pylist()]
     x, row = segments(np.frombuffer(b"".join(blobs), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64))
     y = np.array([languages.index(v) for v in sample.column("lang").to_pylist()])[row]
     return Network(languages).fit(x, y)

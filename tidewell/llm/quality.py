@@ -15,8 +15,10 @@ sums run over all documents as grouped aggregations, which combine before they s
 all rows is a few partial sums. The table of paths is broadcast if counted to be small, else joined salted.
 
 Edge cases: a text without words gives no evidence, its p is the global rate. Null hosts and paths are sites
-of their own. Without usable labels everything is kept with score 1; without usable labels of toxicity, or words that tell, nothing is toxic. Labels that are null or of unknown documents are left
-out; repeated labels each count. Repeated rows are returned once each. Texts may be of any length.
+of their own. Without usable labels everything is kept with score 1; without usable labels of toxicity, or words that
+tell, nothing is toxic. Labels that are null or of unknown documents are left out; of repeated labels of a document one
+counts, and of documents with one id the least text. Repeated rows are returned once each. Texts may be of any length.
+keep_good carries columns of any names; score replaces columns that have the names it adds.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ LABELLED = 16_384
 THRESHOLD = 0.5
 #: Words of the toxicity model at most, and the standard errors by which their rates in toxic and other documents differ at least.
 TELLING, SURE = 512, 5.0
+#: The columns that score adds, with those it needs on the way.
+ADDED = {"_host", "_path", "_p", "_p_toxic", "_host_rate", "_path_rate", "_score", "_keep", "_toxic", "_site", "_h", "_t", "_pn", "_ps", "_hn", "_hs"}
 #: Bounds of the weight of a level above, in documents.
 WEIGHTS = (1.0, 1e6)
 
@@ -100,7 +104,8 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Re
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     mark = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = usable.select(F.struct(mark.alias("mark"), F.col("doc_id"), F.col("quality")).alias("m")).groupBy(F.pmod("m.mark", F.lit(labelled)).alias("bucket")).agg(F.min("m").alias("m")).select("m.doc_id", "m.quality")
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``labelled`` rows
+    # at most ``labelled`` rows, whatever ids repeat
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("doc_id", "text", "quality")
 
     def run(batch):
         for part, raw, at in text_slices(batch):
@@ -207,13 +212,19 @@ def _evidence(rows: DataFrame, model: Regression | Toxicity, name: str = "_p") -
     return map_arrow(rows, run, StructType([*rows.schema.fields]).add(name, DoubleType()))
 
 
+def _exact(x: Column) -> Column:
+    """x, between 0 and 1, as a decimal: sums of these don't depend on their order."""
+    return x.cast("decimal(20,15)")
+
+
 def _weight(rates: DataFrame, rate: float) -> float:
     """In documents, the weight of the level above: global variance over what the rates vary beyond chance."""
-    r = rates.select(F.avg((F.col("s") / F.col("n") - rate) ** 2).alias("spread"), F.avg(1 / F.col("n")).alias("chance")).first()
-    if r.spread is None:
+    sums = rates.select(F.count("*").alias("n"), F.sum(_exact((F.col("s") / F.col("n") - rate) ** 2)).alias("spread"), F.sum(_exact(1 / F.col("n"))).alias("chance")).first()
+    if not sums["n"]:
         return WEIGHTS[1]
+    spread, chance = float(sums["spread"]) / sums["n"], float(sums["chance"]) / sums["n"]
     inner = rate * (1 - rate)
-    between = max(r.spread - inner * r.chance, inner / (WEIGHTS[1] + 1))
+    between = max(spread - inner * chance, inner / (WEIGHTS[1] + 1))
     return min(max(inner / between - 1, WEIGHTS[0]), WEIGHTS[1]) if inner else WEIGHTS[1]
 
 
@@ -224,18 +235,19 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
     """
     host = F.col("source") if host is None else host
     path = F.concat_ws("/", "source", "lang") if path is None else path
-    given = documents.withColumn("_host", F.coalesce(host.cast("string"), F.lit(""))).withColumn("_path", F.coalesce(path.cast("string"), F.lit("")))
+    given = documents.drop(*(c for c in documents.columns if c.lower() in ADDED)).withColumn("_host", F.coalesce(host.cast("string"), F.lit(""))).withColumn("_path", F.coalesce(path.cast("string"), F.lit("")))
     judge = fit_toxicity(documents, labels)
     toxic = F.coalesce(F.col("_p_toxic") >= threshold, F.lit(False))
     model = fit(documents, labels)
     if model is None:
         nothing = F.lit(None).cast("double")
         return toxicity(given, judge).withColumn("_p", nothing).withColumn("_host_rate", nothing).withColumn("_path_rate", nothing).withColumn("_score", F.lit(1.0)).withColumn("_keep", F.lit(True)).withColumn("_toxic", toxic)
-    sums = _evidence(given.select("_host", "_path", "text"), model).groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum("_p").alias("s"))
-    paths = durable(sums, "sites")
-    hosts = paths.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    total = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-    rate = min(max(total.s / total.n, 1e-4), 1 - 1e-4) if total.n else 0.5
+    sums = _evidence(given.select("_host", "_path", "text"), model).groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum(_exact(F.col("_p"))).alias("s"))
+    exact = durable(sums, "sites")
+    paths = exact.withColumn("s", F.col("s").cast("double"))
+    hosts = exact.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("s").cast("double").alias("s"))
+    total = exact.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
+    rate = min(max(float(total.s) / total.n, 1e-4), 1 - 1e-4) if total.n else 0.5
     up, low = _weight(hosts, rate), _weight(paths, rate)
     sites = paths.withColumnsRenamed({"n": "_pn", "s": "_ps"}).join(hosts.withColumnsRenamed({"n": "_hn", "s": "_hs"}), "_host")
     sites = sites.select(F.xxhash64("_host", "_path").alias("_site"), F.col("_host").alias("_h"), F.col("_path").alias("_t"), "_pn", "_ps", "_hn", "_hs")
@@ -252,7 +264,11 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with the columns they came with."""
-    return score(documents, labels).where("_keep and not _toxic").select(*documents.columns)
+    read, names = ["doc_id", "text", "source", "lang"], documents.columns
+    rest = [c for c in names if c not in read]
+    given = documents.select(*read, *([F.struct(*rest).alias("rest")] if rest else []))
+    kept = score(given, labels).where("_keep and not _toxic")
+    return kept.select(*(F.col(c) if c in read else F.col("rest").getField(c).alias(c) for c in names))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
