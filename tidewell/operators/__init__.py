@@ -19,13 +19,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], at: str, columns
     key or time get nulls. Of right rows at the same time the one with the greatest ``tie`` counts. A key with very many rows is sorted with spilling and
     streamed, not held in memory.
     """
-    taken = [c for c in left.columns]
+    taken = list(left.columns)
     order = F.lit(0) if tie is None else tie
-    rows = left.select(*by, F.col(at), F.struct(*taken).alias("_left"), F.lit(None).cast(right.select(F.struct(*columns)).schema[0].dataType).alias("_right"), F.lit(None).cast("bigint").alias("_tie"))
-    other = right.where(F.col(at).isNotNull()).select(*by, F.col(at), F.lit(None).cast(left.select(F.struct(*taken)).schema[0].dataType).alias("_left"), F.struct(*columns).alias("_right"), order.cast("bigint").alias("_tie"))
-    window = Window.partitionBy(*by).orderBy(F.col(at).asc_nulls_first(), F.col("_left").isNotNull().asc(), F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     known = F.lit(True)
     for c in [*by, at]:
         known = known & F.col(c).isNotNull()
-    found = rows.unionByName(other).withColumn("_found", F.when(known, F.last("_right", ignorenulls=True).over(window)))
-    return found.where(F.col("_left").isNotNull()).select("_left.*", *[F.col(f"_found.{c}").alias(c if c not in taken else f"right_{c}") for c in columns])
+    names = {c: c if c not in taken else f"right_{c}" for c in columns}
+    kind = right.select(F.struct(*columns).alias("s")).schema["s"].dataType
+    # rows that match nothing go past the shuffle, so that they don't meet in one window
+    lone = left.where(~known).select(*taken, *[F.lit(None).cast(kind[c].dataType).alias(names[c]) for c in columns])
+    rows = left.where(known).select(*by, F.col(at), F.struct(*taken).alias("_left"), F.lit(None).cast(kind).alias("_right"), F.lit(None).cast("bigint").alias("_tie"))
+    other = right.where(known).select(*by, F.col(at), F.lit(None).cast(left.select(F.struct(*taken)).schema[0].dataType).alias("_left"), F.struct(*columns).alias("_right"), order.cast("bigint").alias("_tie"))
+    window = Window.partitionBy(*by).orderBy(F.col(at).asc_nulls_first(), F.col("_left").isNotNull().asc(), F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.unionByName(other).withColumn("_found", F.last("_right", ignorenulls=True).over(window))
+    return found.where(F.col("_left").isNotNull()).select("_left.*", *[F.col(f"_found.{c}").alias(names[c]) for c in columns]).union(lone)

@@ -34,8 +34,8 @@ def late_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").join(late, "o_orderkey", "left_semi").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
-def customers_without_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+def customers_without_urgent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 def orders_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ QUERIES = {
     "pricing_summary": pricing_summary,
     "revenue_by_nation": revenue_by_nation,
     "semi_join": late_priorities,
-    "anti_join": customers_without_orders,
+    "anti_join": customers_without_urgent_orders,
     "outer_join": orders_per_customer,
     "top_k": top_orders,
     "rollup": quantity_rollup,
@@ -103,7 +103,7 @@ SQL = {
     "pricing_summary": f"SELECT l_returnflag, l_linestatus, CAST(sum({_M('l_quantity')}) AS DOUBLE) AS sum_qty, CAST(sum({_M('l_extendedprice')}) AS DOUBLE) AS sum_base, CAST(sum({_M('l_extendedprice')} * (1 - {_M('l_discount')})) AS DOUBLE) AS sum_net, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-09-02' GROUP BY 1, 2",
     "revenue_by_nation": f"SELECT r_name, n_name, CAST(sum({_M('l_extendedprice')} * (1 - {_M('l_discount')})) AS DOUBLE) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2",
     "semi_join": "SELECT o_orderpriority, count(*) AS n FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 45) GROUP BY 1",
-    "anti_join": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "anti_join": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')",
     "outer_join": "SELECT n, count(*) AS customers FROM (SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1) GROUP BY n",
     "top_k": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
     "rollup": f"SELECT l_returnflag, l_linestatus, CAST(sum({_M('l_quantity')}) AS DOUBLE) AS qty, CAST(grouping(l_returnflag, l_linestatus) AS BIGINT) AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",

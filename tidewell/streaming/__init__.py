@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,11 @@ def daily_counts(events: DataFrame) -> DataFrame:
 
 def run_to_end(result: DataFrame, spark: SparkSession) -> DataFrame:
     """Runs a stream over what is there now, keeping the complete result, and returns it as a table."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
     at = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, _: int) -> None:
