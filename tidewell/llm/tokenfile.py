@@ -52,15 +52,11 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[int, np.ndarray, np.nda
     # where a pair that may repeat starts: one that occurs once will not occur again, unless it has a new symbol
     live, floor = np.ones(len(symbols), bool), 0
     while len(symbols) > 1:
-        inner = np.flatnonzero(live[:-1] & ~ends[:-1])
-        keys = (symbols[inner].astype(np.uint64) << np.uint64(32)) | symbols[inner + 1]
-        order = np.argsort(keys)
-        keys = keys[order]
+        keys, where, shift = _pairs(symbols, np.flatnonzero(live[:-1] & ~ends[:-1]), len(lengths))
         first = np.flatnonzero(changes(keys))
         counts = np.diff(np.append(first, len(keys)))
-        where = inner[order]
         live[where[np.repeat(counts == 1, counts)]] = False
-        apart = _apart(keys, where, first, counts)
+        apart = _apart(keys, where, first, counts, shift)
         most = int(apart.max(initial=0))
         if most < 2:
             break
@@ -69,7 +65,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[int, np.ndarray, np.nda
         chosen = chosen[np.argsort(-apart[chosen], kind="stable")]
         at, rank, taken = _places(where, first, counts, chosen, len(symbols))
         pairs = keys[first[chosen[taken]]]
-        pairs = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
+        pairs = np.stack([pairs >> shift, pairs & ((np.uint64(1) << shift) - np.uint64(1))], 1).astype(np.int64)
         number = np.cumsum(taken) - 1 + len(lengths)
         symbols[at] = number[rank]
         rules.append(pairs)
@@ -84,19 +80,34 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[int, np.ndarray, np.nda
     return base, np.concatenate(rules), lengths[base:], symbols, ends
 
 
-def _apart(keys: np.ndarray, where: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _pairs(symbols: np.ndarray, inner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """(sorted keys of the pairs that start at ``inner``, where each starts, the bits of the right symbol); symbols are less than n."""
+    shift, width = np.uint64(n.bit_length()), np.uint64(len(symbols).bit_length())
+    keys = (symbols[inner].astype(np.uint64) << shift) | symbols[inner + 1]
+    if int(2 * shift + width) > 64:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], inner[order], shift
+    keys <<= width  # key and place sort as one word
+    keys |= inner.astype(np.uint64)
+    keys.sort()
+    where = (keys & ((np.uint64(1) << width) - np.uint64(1))).astype(np.int64)
+    keys >>= width
+    return keys, where, shift
+
+
+def _apart(keys: np.ndarray, where: np.ndarray, first: np.ndarray, counts: np.ndarray, shift: np.uint64) -> np.ndarray:
     """How often each pair occurs without overlapping itself; only a pair of equal symbols can."""
     out = counts.copy()
-    both = np.flatnonzero(keys >> np.uint64(32) == keys & np.uint64(0xFFFFFFFF))
-    if len(both):
-        order = np.lexsort((where[both], keys[both]))
-        key, at = keys[both][order], where[both][order]
-        new = changes(key) | np.append(True, at[1:] != at[:-1] + 1)
-        run = np.flatnonzero(new)
+    left = keys[first] >> shift
+    equal = np.flatnonzero(left == keys[first] & ((np.uint64(1) << shift) - np.uint64(1)))
+    if len(equal):
+        n = counts[equal]
+        place = np.repeat(first[equal] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        pair, at = np.repeat(equal, n), where[place]
+        run = np.flatnonzero(changes(pair) | np.append(True, at[1:] != at[:-1] + 1))
         halves = (np.diff(np.append(run, len(at))) + 1) // 2
-        pair = np.searchsorted(first, both[order][run], "right") - 1
-        out[np.unique(pair)] = 0
-        np.add.at(out, pair, halves)
+        out[equal] = 0
+        np.add.at(out, pair[run], halves)
     return out
 
 
@@ -107,12 +118,12 @@ def _places(where: np.ndarray, first: np.ndarray, counts: np.ndarray, chosen: np
     that overlap the one of lower rank is replaced, so the first always is; each that is replaced is so twice or more.
     """
     none = len(chosen)
-    group = np.full(len(first), none, np.int64)
+    group = np.full(len(first), none, np.int32)
     group[chosen] = np.arange(none)
-    rank = np.full(n + 1, none, np.int64)
+    rank = np.full(n + 1, none, np.int32)
     rank[where] = np.repeat(group, counts)
     here = rank[:-1]
-    at = np.flatnonzero((here < none) & (here <= np.append(none, rank[:-2])) & (here <= rank[1:]))
+    at = np.flatnonzero((here < none) & (here <= np.append(np.int32(none), rank[:-2])) & (here <= rank[1:]))
     index = np.arange(len(at))
     new = np.append(True, at[1:] != at[:-1] + 1)[: len(at)]
     at = at[(index - np.maximum.accumulate(np.where(new, index, 0))) % 2 == 0]
