@@ -1,4 +1,11 @@
-"""A training corpus from raw documents, in five stages; each is written as Parquet and read by the next."""
+"""A training corpus from raw documents, in five stages; each is written as Parquet and read by the next.
+
+Edge cases: null and empty texts go through all stages; as they are equal to each other (null counts as empty), one of
+them stays. Rows of equal id and text are one document and come out once. Null ids are kept. Without usable labels
+nothing is rejected, without items nothing is contaminated; an empty table gives an empty result. All stages but the last
+return the columns that they were given, extra ones of any name included; tokens returns doc_id, n_tokens, ids and
+decoded. Near copies whose common lines the second stage has removed are no near duplicates to the third.
+"""
 
 from __future__ import annotations
 
