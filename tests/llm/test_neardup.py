@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from tests.llm.conftest import DATA, documents
+from tests.llm.conftest import DATA, documents, sample
 from tidewell.llm import neardup
 from tidewell.llm.linking import components, link, starred
 from tidewell.llm.neardup import drop_near_duplicates, group_documents, op4, signatures
