@@ -22,10 +22,13 @@ def library():
     return Tokenizer.from_str(SPEC)
 
 
+OWN = ByteLevel(SPEC)
+
+
 def encoded(texts):
     raw = [t.encode() for t in texts]
     at = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    ids, counts = ByteLevel(SPEC).encode(np.frombuffer(b"".join(raw), np.uint8), at)
+    ids, counts = OWN.encode(np.frombuffer(b"".join(raw), np.uint8), at)
     ends = np.cumsum(counts)
     return [ids[e - n : e].tolist() for e, n in zip(ends.tolist(), counts.tolist())]
 
