@@ -11,16 +11,19 @@ A null text counts as empty; empty texts have no ids. Texts may be of any length
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import Flat, Seen, span_hashes
-from .presplit import _CODES, LETTER, NUMBER, OTHER, POINTS, REMEMBERED, SPACE, UNKNOWN, _code_points, _edges
+from .presplit import _CODES, LETTER, NUMBER, OTHER, POINTS, SPACE, UNKNOWN, _code_points, _edges
 
 #: Fixed value: the pattern that the library's byte-level step has.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pieces that a process remembers at most, about 100 MB; beyond that it starts anew, which changes no result.
+REMEMBERED = 1_000_000
 _ONE = np.frombuffer("stmd".encode("utf-32-le"), np.uint32)
 _TWO = [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")]
 
@@ -141,5 +144,6 @@ def encoder(spec: str) -> ByteLevel:
     """The encoder of a tokenizer file's text, made once in a process."""
     key = hash(spec)
     if key not in _MADE:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _MADE[key] = ByteLevel(spec)
     return _MADE[key]
