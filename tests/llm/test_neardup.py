@@ -8,7 +8,7 @@ import numpy as np
 
 from tests.llm.conftest import DATA, documents, sample
 from tidewell.llm import neardup
-from tidewell.llm.linking import components, link, starred
+from tidewell.llm.linking import blocks, link, starred
 from tidewell.llm.neardup import drop_near_duplicates, group_documents, op4, signatures
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -102,20 +102,37 @@ def test_edge_cases_and_one_of_each_group_stays(spark, tables):
     assert group_documents(given.limit(0)).count() == 0
 
 
+def near_numbers(pairs):
+    return pairs.where("abs(b - a) <= 1")
+
+
+def mates_of_numbers(rows):
+    other = rows.toDF("bucket", "other", "theirs", "on")
+    return rows.join(other, "bucket").where("node < other and group <> theirs and (side < 0 or side <> on) and other - node <= 1").selectExpr("node as a", "other as b")
+
+
 def test_linking_finds_chains_within_one_bucket(spark):
     rnd = random.Random(2)
     values = list(range(0, 8)) + list(range(200, 203)) + [500]
     rnd.shuffle(values)
     members = spark.createDataFrame([(1, v) for v in values] + [(2, 5), (2, 500), (3, 7)], "bucket bigint, node bigint")
+    for large in (1, 2, 6, 100):  # blocks, or comparisons in the bucket at once
+        got = {r.node: r.label for r in link(starred(members), near_numbers, mates_of_numbers, large).collect()}
+        assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}
 
-    def mates(rows):
-        other = rows.toDF("bucket", "other", "theirs")
-        return rows.join(other, "bucket").where("node < other and group <> theirs").selectExpr("node as a", "other as b")
 
-    for large in (6, 100):  # leaders until the bucket is small, or comparisons in it at once
-        labels = components(link(starred(members), lambda p: p.where("b - a <= 1"), mates, large)).collect()
-        got = {r.node: r.label for r in labels}
-        assert got == {v: 0 if v < 8 else 200 for v in values if v < 203}
+def test_blocks_bring_all_pairs_of_different_groups_together(spark):
+    rnd = random.Random(11)
+    rows = [(1, n, 0) for n in range(40)] + [(1, 100 + n, 100 + n // 3) for n in range(33)] + [(2, n, n) for n in range(25)] + [(3, n, n % 2) for n in range(12)]
+    rnd.shuffle(rows)
+    given = spark.createDataFrame(rows, "bucket bigint, node bigint, group bigint")
+    members = {}
+    for r in blocks(given, 10).collect():
+        members.setdefault(r.bucket, []).append((r.node, r.group, r.side))
+    assert max(map(len, members.values())) <= 30
+    met = {frozenset((x, y)) for own in members.values() for x, g, s in own for y, h, t in own if x < y and g != h and (s < 0 or s != t)}
+    want = {frozenset((x, y)) for b, x, g in rows for c, y, h in rows if b == c and x < y and g != h}
+    assert met >= want
 
 
 def test_copies_are_compared_within_buckets(spark, tables, monkeypatch):
@@ -128,24 +145,13 @@ def test_copies_are_compared_within_buckets(spark, tables, monkeypatch):
     assert grouped(op4(spark, folder).collect()) == want
 
 
-def test_linking_splits_large_buckets(spark):
+def test_large_buckets_lose_no_link(spark):
     rnd = random.Random(5)
-    values = [*range(0, 30), *range(100, 130), *range(300, 306), 900]
+    values = [*range(0, 30), *range(100, 130), *range(300, 306), 900, *range(1000, 1400, 3)]
     rnd.shuffle(values)
     members = spark.createDataFrame([(1, v) for v in values], "bucket bigint, node bigint")
-    sizes = []
-
-    def split(rows):  # neighbours meet in one of two finer buckets
-        sizes.append(rows.groupBy("bucket").count().agg({"count": "max"}).first()[0])
-        both = rows.selectExpr("bucket * 1000 + node div 8 as bucket", "node").union(rows.selectExpr("bucket * 1000 + 500 + (node + 4) div 8 as bucket", "node"))
-        return both
-
-    def mates(rows):
-        other = rows.toDF("bucket", "other", "theirs")
-        return rows.join(other, "bucket").where("node < other and group <> theirs").selectExpr("node as a", "other as b")
-
-    labels = components(link(starred(members), lambda p: p.where("b - a <= 1"), mates, 9, split=split)).collect()
-    assert {r.node: r.label for r in labels} == {v: 0 if v < 50 else 100 if v < 200 else 300 for v in values if v < 900} and sizes
+    labels = link(starred(members), near_numbers, mates_of_numbers, 9).collect()
+    assert {r.node: r.label for r in labels} == {v: 0 if v < 50 else 100 if v < 200 else 300 for v in values if v < 900}
 
 
 def test_groups_do_not_depend_on_how_large_a_bucket_may_be(spark):

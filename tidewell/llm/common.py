@@ -23,8 +23,6 @@ BATCH_ROWS = 512
 BLOCK_BYTES = (1 << 20) - 4096
 #: Rows up to which a counted side is broadcast.
 BROADCAST_ROWS = 200_000
-#: Ways in which the larger side is salted when the smaller one is too large to broadcast.
-SALTS = 16
 #: Folders of applications that have been made.
 _MADE: set[str] = set()
 
@@ -75,18 +73,26 @@ def fresh(df: DataFrame, name: str) -> str:
     return f"_{name}"
 
 
-def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS, cost: Column | None = None) -> DataFrame:
-    """Joins on a key of which big may hold very many equal rows.
+def sized_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS, cost: Column | None = None, skewed: bool = True) -> DataFrame:
+    """Joins on a key of which big may hold very many equal rows, unless it is not ``skewed``.
 
-    small is measured, in rows or in the sum of ``cost``: up to ``limit`` it is broadcast, beyond that big is salted by
-    its rows and small repeated once a salt, so that no key's rows meet in one task. For inner, left, semi and anti joins.
+    small is measured, in rows or in the sum of ``cost``: up to ``limit`` it is broadcast. Beyond that both are shuffled,
+    and keys of big that fill more than a partition, which are fewer than the partitions, are salted by big's rows, as
+    many ways as they fill partitions, with small's rows repeated for these alone. For inner, left, semi and anti joins.
     """
     size = small.limit(limit + 1).count() if cost is None else small.agg(F.sum(cost)).first()[0] or 0
     if size <= limit:
         return big.join(F.broadcast(small), on, how)
-    salt = fresh(big, "salt")
-    salted = big.withColumn(salt, F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-    spread = small.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    if not skewed:
+        return big.join(small, on, how)
+    salt, ways = fresh(big, "salt"), fresh(big, "ways")
+    parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = durable(big.groupBy(on).agg(F.count("*").alias(ways)), "key-counts")
+    share = -(-(counts.agg(F.sum(ways)).first()[0] or 0) // parts) or 1
+    hot = durable(counts.where((F.col(ways) > share) & F.col(on).isNotNull()).select(on, F.ceil(F.col(ways) / share).cast("int").alias(ways)), "hot-keys")
+    ways_of = F.coalesce(ways, F.lit(1))
+    salted = big.join(F.broadcast(hot), on, "left").withColumn(salt, F.pmod(F.xxhash64(*big.columns), ways_of).cast("int")).drop(ways)
+    spread = small.join(F.broadcast(hot), on, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), ways_of - 1))).drop(ways)
     return salted.join(spread, [on, salt], how).drop(salt)
 
 

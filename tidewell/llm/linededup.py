@@ -6,19 +6,21 @@ linked if they are candidates and their edit similarity, 1 - Levenshtein distanc
 points, is ``SIMILARITY`` or more. Of each connected group the first occurrence, by doc_id, text digest and line
 number, stays; all others are removed from their documents.
 
-Candidates: the 64 bits of a SimHash over pairs of neighbouring words are cut into six blocks. Hashes that differ in
-three bits agree in three whole blocks at least, so every choice of three blocks, some 32 bits, is a bucket, and no
+Candidates: the 64 bits of a SimHash over pairs of neighbouring words are cut into five blocks. Hashes that differ in
+three bits agree in two whole blocks at least, so every choice of two blocks, some 26 bits, is a bucket, and no
 pair within the distance is missed. One changed word moves the SimHash of most lines further than that, so there are
 ``BANDS`` buckets more by the minima of ``ROWS`` hash functions over the set of word pairs of ``LONG`` bytes or more
 (all pairs if there are not three such; pairs of short words are common to lines that are not alike): lines that share a
-part J of these meet in one with probability 1 - (1 - J^3)^12. Lines of up to ``SHORT`` words have ``FINE_BANDS``
-buckets by the minima of ``FINE_ROWS`` hash functions over their runs of ``GRAM`` bytes. A pair alike only by
-scattered single characters can still be missed (see README).
+part J of these meet in one with probability 1 - (1 - J^3)^28. Lines of up to ``SHORT`` words have ``FINE_BANDS``
+buckets by the minima of ``FINE_ROWS`` hash functions over their runs of ``GRAM`` bytes. Longer lines that are alike only by
+single characters changed all over can still be missed (see README).
 
 How it runs: one pass over the texts writes a row for each line. A second one over those rows deals bucket keys out
 in packed arrays, so that buckets with one line, nearly all of them, are dropped by sorting arrays. A bucket that is
-hot in a task is dealt by line instead. Bucket mates are compared as in linking, without all pairs of a group. Lines
-are told apart by the MD5 of their normal form.
+hot in a task is dealt by line instead. Bucket mates are compared as in linking, without all pairs of a group and
+whatever the size of a bucket. Before edit distances are worked out, pairs are ruled out by lengths, by counts of their runs of
+``TRIPLE`` code points and by how many of these stand at about the same places; no alike pair is. Lines are told apart by the MD5 of their
+normal form.
 
 Edge cases: lines without words always stay; null texts have no lines and stay null. Rows of equal id and text are one
 document and come out alike. Null ids come last in the order. Lines may be of any length. Columns other than doc_id
@@ -32,36 +34,37 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from .common import _IS_WORD, _LOWER, changes, durable, fresh, lists, map_arrow, mix, prepare, seeded, shingles, sized_join, span_hashes, text_slices, whole_groups, words
 from .editdistance import similar
-from .linking import components, link, starred, with_homes
+from .linking import link, starred, with_homes
 
 DISTANCE = 3
 SIMILARITY = 0.8
-_EDGES = [0, 11, 22, 33, 44, 54, 64]
-MASKS = [sum(((1 << _EDGES[i + 1]) - (1 << _EDGES[i])) for i in chosen) for chosen in combinations(range(6), 3)]
-BANDS, ROWS, LONG = 12, 3, 10
-#: Bands of word pairs by which a large bucket is split.
-FINER = 24
+_EDGES = [0, 13, 26, 39, 52, 64]
+MASKS = [sum(((1 << _EDGES[i + 1]) - (1 << _EDGES[i])) for i in chosen) for chosen in combinations(range(5), 2)]
+BANDS, ROWS, LONG = 28, 3, 8
 #: Words up to which a line is also looked up by its runs of ``GRAM`` bytes.
-SHORT, GRAM = 10, 4
-FINE_BANDS, FINE_ROWS = 20, 4
+SHORT, GRAM = 10, 6
+FINE_BANDS, FINE_ROWS = 52, 3
 _FACTORS = seeded(BANDS * ROWS, 6) | np.uint64(1)
 _FINE_FACTORS = seeded(FINE_BANDS * FINE_ROWS, 7) | np.uint64(1)
-#: Members of a bucket up to which they are compared in one task; larger buckets are split by further minima.
+#: Members of a bucket up to which they are compared in one task; larger buckets are dealt out in blocks.
 LARGE = 1000
 #: Lines whose bucket keys a task packs at a time.
 PACKED = 1 << 16
-#: Bytes of texts that are compared at a time.
-COMPARED = 16 << 20
-#: Pairs that a task remembers as not alike; beyond that it starts anew.
-REMEMBERED = 1 << 20
+#: Bytes of texts that are compared at a time, and pairs of these, but for one bucket's.
+COMPARED, PAIRS = 4 << 20, 1 << 20
+#: Code points of the runs whose counts rule pairs out, and counters a line.
+TRIPLE, COUNTERS = 3, 2048
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
 PART, LOW = 1 << 21, (1 << 40) - 1
+#: Code points whose runs are counted at a time.
+BLOCK = 1 << 20
 #: A nibble as four lanes of 16 bits, so that four counters are summed in one word.
 _LANES = np.array([sum(((n >> b) & 1) << (16 * b) for b in range(4)) for n in range(16)], np.uint64)
 
@@ -286,16 +289,20 @@ def _linked(batches, least: float):
 
     def flush(held):
         a, b, x, y = (pa.concat_arrays([h.column(i) for h in held]) for i in range(4))
-        keep = pa.array(np.flatnonzero(similar(x.to_pylist(), y.to_pylist(), least)))
+        texts = pa.concat_arrays([x, y]).dictionary_encode()
+        own, place = texts.dictionary.to_pylist(), texts.indices.to_numpy().reshape(2, -1)
+        keep = plausible(own, *place, least)
+        keep = pa.array(keep[similar([own[i] for i in place[0][keep].tolist()], [own[i] for i in place[1][keep].tolist()], least)])
         return pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
-    held, size = [], 0
+    held, size, rows = [], 0, 0
     for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size > COMPARED:
+        if batch.num_rows:
+            held.append(batch)
+            size, rows = size + batch.nbytes, rows + batch.num_rows
+        if size > COMPARED or rows > 1 << 14:
             yield flush(held)
-            held, size = [], 0
+            held, size, rows = [], 0, 0
     if held:
         yield flush(held)
 
@@ -313,96 +320,162 @@ class Groups:
         return group
 
 
-def _waves(buckets: list[tuple[list[int], list[int], np.ndarray]], text: dict[int, str], groups: Groups, apart: set, least: float):
-    """Links (a, b) that join all groups of a bucket that any links join; a bucket is (nodes, groups, sizes), ascending by size.
+def run_counts(texts: list[str]) -> np.ndarray:
+    """Counters of each text's runs of ``TRIPLE`` code points, by their hashes, up to 255 each."""
+    out = np.zeros((len(texts), COUNTERS), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, min(i + 1024, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + BLOCK))))
+        codes = np.frombuffer("".join(texts[i:j]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        if len(codes) >= TRIPLE:
+            n = len(codes) - TRIPLE + 1
+            run = np.zeros(n, np.uint64)
+            for k in range(TRIPLE):
+                run = run * np.uint64(0x9E3779B97F4A7C15) + codes[k : n + k]
+            slot = (mix(run) % np.uint64(COUNTERS)).astype(np.int64)
+            row = np.repeat(np.arange(j - i), sizes[i:j])[:n]
+            inside = ends[i:j][row] - (ends[i - 1] if i else 0) - np.arange(n) >= TRIPLE
+            own = np.bincount(row[inside] * COUNTERS + slot[inside], minlength=(j - i) * COUNTERS).reshape(j - i, COUNTERS)
+            out[i:j] = np.minimum(own, 255)
+        i = j
+    return out
+
+
+def plausible(text: list[str], a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of lines may be alike: an edit changes at most ``2 * TRIPLE`` counts by one, and sums of counts no more."""
+    size, counts = np.array([len(t) for t in text], np.int64), run_counts(text)
+    longer = np.maximum(size[a], size[b])
+    most = ((1 - least) * longer + 1e-9).astype(np.int64)
+    kept = np.flatnonzero(longer - np.minimum(size[a], size[b]) <= most)
+    for own in (counts.reshape(len(counts), 8, -1).sum(1, dtype=np.int16), counts.astype(np.int16)):
+        good = []
+        for i in range(0, len(kept), 4096):
+            part = kept[i : i + 4096]
+            apart = np.abs(own[a[part]] - own[b[part]]).sum(1, dtype=np.int64)
+            good.append(part[apart <= 2 * TRIPLE * most[part]])
+        kept = np.concatenate([kept[:0], *good])
+    return kept[in_place(text, a[kept], b[kept], least)]
+
+
+def placed_runs(text: str) -> np.ndarray:
+    """Sorted words of the hash and the place of each run of ``TRIPLE`` code points."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = max(len(codes) - TRIPLE + 1, 0)
+    run = np.zeros(n, np.uint64)
+    for k in range(TRIPLE):
+        run = run * np.uint64(0x9E3779B97F4A7C15) + codes[k : n + k]
+    return np.sort((mix(run) >> np.uint64(29) << np.uint64(28)).view(np.int64) | np.arange(n))
+
+
+def in_place(text: list[str], a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs have enough runs at about the same places: an edit touches ``TRIPLE`` runs, and moves none further than the limit."""
+    known: dict[int, np.ndarray] = {}
+    kept, held = [], 0
+    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+        if len(text[i]) < len(text[j]):
+            i, j = j, i
+        most = int((1 - least) * len(text[i]) + 1e-9)
+        for x in (i, j):
+            if x not in known:
+                if held > COMPARED:
+                    known, held = {}, 0
+                known[x] = placed_runs(text[x])
+                held += len(text[x])
+        own = known[i] if i in known else placed_runs(text[i])
+        other = known[j]
+        if len(own) > TRIPLE * most and len(other):
+            at = np.searchsorted(other, own - most)
+            found = other[np.minimum(at, len(other) - 1)]
+            met = int(((found >= own - most) & (found <= own + most)).sum())
+        else:
+            met = 0
+        if met >= len(own) - TRIPLE * most:
+            kept.append(k)
+    return np.array(kept, np.int64)
+
 
-    In each wave one member of every bucket is compared with the later ones of other groups, all buckets together, until
-    each bucket is one group or its members have all had their turn.
+def mate_pairs(line: np.ndarray, bucket: np.ndarray, side: np.ndarray, size: np.ndarray, group: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of lines of different groups that share a bucket and may be alike by their lengths; each pair once.
+
+    Members come bucket by bucket, ascending by ``size`` of their lines; ``group`` is a line's.
     """
-    last = [np.searchsorted(size, size / least + 1e-6, "right").tolist() for _, _, size in buckets]
-    turn, active = [0] * len(buckets), range(len(buckets))
-    while len(active):
-        pairs: set[tuple[int, int]] = set()
-        joined: dict[tuple[int, int], tuple[int, int]] = {}
-        still = []
-        for k in active:
-            node, group, _ = buckets[k]
-            before = len(pairs)
-            while turn[k] < len(node) - 1 and len(pairs) == before:
-                i = turn[k]
-                own, mine = groups.of(group[i]), node[i]
-                for j in range(i + 1, last[k][i]):
-                    if groups.of(group[j]) != own:
-                        pair = (mine, node[j]) if mine < node[j] else (node[j], mine)
-                        if pair not in apart:
-                            pairs.add(pair)
-                            joined[pair] = (group[i], group[j])
-                turn[k] += 1
-            if turn[k] < len(node) - 1:
-                still.append(k)
-        active = still
-        if pairs:
-            a, b = zip(*sorted(pairs))
-            for i in np.flatnonzero(similar([text[x] for x in a], [text[x] for x in b], least)).tolist():
-                pairs.discard((a[i], b[i]))
-                x, y = (groups.of(g) for g in joined[a[i], b[i]])
-                if x != y:
-                    groups.parent[x] = y
-                    yield a[i], b[i]
-            apart |= pairs
+    place = np.cumsum(changes(bucket)) << 40
+    last = np.searchsorted(place + size[line], place + (size[line] / least + 1e-6).astype(np.int64), "right")
+    later = np.maximum(last - np.arange(len(line)) - 1, 0)
+    first = np.repeat(np.arange(len(line)), later)
+    second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(later) - later, later)
+    other = (group[line[first]] != group[line[second]]) & ((side[first] < 0) | (side[first] != side[second]))
+    a, b = line[first[other]], line[second[other]]
+    key = np.unique(np.minimum(a, b) * len(size) + np.maximum(a, b))
+    return key // max(len(size), 1), key % max(len(size), 1)
+
+
+def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.ndarray, group: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of alike lines that join all groups of lines that alike bucket mates join, each pair once; see ``mate_pairs``."""
+    size = np.array([len(t) for t in text], np.int64)
+    a, b = mate_pairs(line, bucket, side, size, group, least)
+    kept = plausible(text, a, b, least)
+    a, b = a[kept], b[kept]
+    groups, links = Groups(), []
+    step = 64
+    while len(a):
+        # in few steps at first, as what they join need not be compared any more
+        x, y = a[:step].tolist(), b[:step].tolist()
+        for i in np.flatnonzero(similar([text[i] for i in x], [text[i] for i in y], least)).tolist():
+            u, v = groups.of(int(group[x[i]])), groups.of(int(group[y[i]]))
+            if u != v:
+                groups.parent[u] = v
+                links.append((x[i], y[i]))
+        a, b = a[step:], b[step:]
+        root = np.array([groups.of(g) for g in group.tolist()], np.int64)
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+        step = min(2 * step, 4096)
+    return links
 
 
 def _alike(least: float):
-    """Of rows (bucket, node, group, normal) in the buckets' order, links that join all groups of a bucket that any links join."""
+    """Of rows (home, bucket, node, group, side, normal) in the homes' order, links that join all groups of a bucket that any links join."""
 
     def run(batches):
-        groups, apart = Groups(), set()  # apart: pairs known not to be alike
-        buckets: list = []
-        text: dict[int, str] = {}
-        held = 0
+        tables: list[pa.Table] = []
+        held = pairs = 0
 
         def flush():
-            links = list(_waves(buckets, text, groups, apart, least))
-            if len(apart) > REMEMBERED:
-                apart.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
-
-        for table in whole_groups(batches, "bucket"):
-            bucket, size = table.column("bucket").to_numpy(), np.array([len(t) for t in table.column("normal").to_pylist()])
-            order = np.lexsort((size, bucket))
-            table, bucket, size = table.take(pa.array(order)), bucket[order], size[order]
-            node, group = table.column("node").to_pylist(), table.column("group").to_pylist()
-            text.update(zip(node, table.column("normal").to_pylist()))
-            edges = np.append(np.flatnonzero(changes(bucket)), len(bucket)).tolist()
-            buckets.extend((node[a:b], group[a:b], size[a:b]) for a, b in zip(edges, edges[1:]))
-            held += int(size.sum())
-            if held > COMPARED:
-                yield flush()
-                buckets, text, held = [], {}, 0
-        if buckets:
+            table = pa.concat_tables(tables)
+            nodes, first, line = np.unique(table.column("node").to_numpy(), return_index=True, return_inverse=True)
+            text = table.column("normal").take(pa.array(first)).to_pylist()
+            group = np.unique(table.column("group").to_numpy()[first], return_inverse=True)[1]
+            bucket, size = table.column("bucket").to_numpy(), np.array([len(t) for t in text])[line]
+            order = np.lexsort((line, size, bucket))
+            links = compared(text, line[order], bucket[order], table.column("side").to_numpy()[order], group, least)
+            a, b = (nodes[[x[i] for x in links]] for i in (0, 1)) if links else (nodes[:0], nodes[:0])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for table in whole_groups(batches, "home"):
+            # a table may hold many homes; all buckets of one go together, so that pairs that meet in several are compared once
+            table = table.sort_by([("home", "ascending"), ("bucket", "ascending")]).combine_chunks()
+            home, bucket = table.column("home").to_numpy(), table.column("bucket").to_numpy()
+            edges = np.append(np.flatnonzero(changes(home, bucket)), len(home))
+            last = np.append(home[edges[:-1]][1:] != home[edges[:-1]][:-1], True).tolist()
+            weight = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.binary_length(table.column("normal"))))])[edges].tolist()
+            start, edges = 0, edges.tolist()
+            for k, (a, b) in enumerate(zip(edges, edges[1:])):
+                held, pairs = held + weight[k + 1] - weight[k], pairs + (b - a) * (b - a - 1) // 2
+                if pairs > PAIRS or held > COMPARED and last[k]:
+                    tables.append(table.slice(start, b - start))
+                    yield flush()
+                    tables, held, pairs, start = [], 0, 0, b
+            if start < len(home):
+                tables.append(table.slice(start))
+        if tables:
             yield flush()
 
     return run
 
 
-def _split(batch: pa.RecordBatch):
-    """Of rows (bucket, node, normal), rows (bucket, node) of finer buckets, by minima that no band uses."""
-    own = [t.encode() for t in batch.column(2).to_pylist()]
-    raw = np.frombuffer(b"\n".join(own), np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in own])
-    hashes, begin, end, counts = words(raw, np.append(0, np.minimum(ends, len(raw))))
-    grams, number = shingles(hashes, counts, 2)
-    kept, many = telling(begin, end, counts), counts > SHORT
-    row = np.repeat(np.arange(len(counts)), number)
-    keep = kept & many[row]
-    pairs = bands(grams[keep], np.bincount(row[keep], minlength=len(counts))[many], seeded(FINER * ROWS, 106) | np.uint64(1), ROWS)
-    fine = bands(*byte_grams([t for t, w in zip(own, many.tolist()) if not w]), seeded(FINE_BANDS * FINE_ROWS, 107) | np.uint64(1), FINE_ROWS)
-    for chosen, marks in ((np.flatnonzero(many), pairs), (np.flatnonzero(~many), fine)):
-        bucket = batch.column(0).to_numpy()[chosen].view(np.uint64)
-        finer = mix(mix(bucket[:, None] + np.arange(1, marks.shape[1] + 1, dtype=np.uint64)) ^ marks.view(np.uint32).astype(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64).ravel()), pa.array(np.repeat(batch.column(1).to_numpy()[chosen], marks.shape[1]))], ["bucket", "node"])
-
-
 def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LARGE) -> tuple[DataFrame, DataFrame]:
     """(a row for each occurrence: doc_id, digest, number, line, ...; labels of linked lines: line, label)."""
     spark = documents.sparkSession
@@ -423,21 +496,20 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     texts = sized_join(seen.where("normal is not null").select("node", "normal", "line"), wanted, "node", "left_semi")
     texts = durable(texts.groupBy("node").agg(F.min(F.struct("normal", "line")).alias("m")).select("node", "m.normal", "m.line"), "line-texts")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("normal").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("normal").alias("y")), "b").select("a", "b", "x", "y")
-        return sides.mapInArrow(lambda batches: _linked(batches, least), "a bigint, b bigint")
+    # texts count by their bytes where it is asked whether they can be broadcast
+    weight = 1 + F.length("normal") / 64
 
-    def with_text(rows: DataFrame) -> DataFrame:
-        return rows.join(texts, "node")
+    def verify(pairs: DataFrame) -> DataFrame:
+        sides = pairs
+        for c, name in (("a", "x"), ("b", "y")):
+            sides = sized_join(sides, texts.select(F.col("node").alias(c), F.col("normal").alias(name)), c, cost=1 + F.length(name) / 64)
+        return sides.select("a", "b", "x", "y").mapInArrow(lambda batches: _linked(batches, least), "a bigint, b bigint")
 
     def mates(rows: DataFrame) -> DataFrame:
-        known = with_text(with_homes(rows)).select("home", "bucket", "node", "group", "normal")
-        return known.repartition("home").drop("home").sortWithinPartitions("bucket").mapInArrow(_alike(least), "a bigint, b bigint")
-
-    def split(rows: DataFrame) -> DataFrame:
-        return map_arrow(with_text(rows).select("bucket", "node", "normal"), _split, "bucket bigint, node bigint")
+        known = sized_join(with_homes(rows), texts.select("node", "normal"), "node", cost=weight).select("home", "bucket", "node", "group", "side", "normal")
+        return known.repartition("home").sortWithinPartitions("home").mapInArrow(_alike(least), "a bigint, b bigint")
 
-    labels = components(link(stars, verify, mates, large, split=split))
+    labels = link(stars, verify, mates, large)
     return seen, labels.join(texts, "node").select("line", "label")
 
 
@@ -464,7 +536,7 @@ def dedup_lines(documents: DataFrame, total: str = "_n_lines", lost: str = "_n_d
     names = documents.columns
     row, numbers = fresh(documents, "row"), fresh(documents, "numbers")
     gone = dropped_lines(documents).toDF(row, numbers)
-    joined = sized_join(documents.withColumn(row, _row_key()), gone, row, "left", cost=1 + F.size(numbers) / 8).drop(row)
+    joined = sized_join(documents.withColumn(row, _row_key()), gone, row, "left", cost=1 + F.size(numbers) / 8, skewed=False).drop(row)
     at, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batch):

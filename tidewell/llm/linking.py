@@ -1,10 +1,11 @@
 """Connected groups of similar things, from buckets that candidates share, without all pairs of a bucket.
 
-In every bucket one member, the least, is compared with all the rest. What is still apart, and not ruled out, is then
-compared inside the buckets' tasks, which give only what is alike. Buckets too large for a task are split into finer
-ones by hashes not used so far, and go through the same again: rounds grow with the logarithm of a bucket. Members that
-no hash tells apart have one more of them compared with the rest in each round. All tables stay distributed; the driver
-sees counts.
+In every bucket one member, the least, is compared with all the rest, and what is linked by then is put in groups. Buckets
+that are one group are done, nearly all of them. In the others members of different groups are compared inside the buckets' tasks, which give
+only what is alike. A bucket too large for a task is dealt out in blocks, exactly: its members outside its largest group are cut into
+chunks, and every chunk meets every chunk of them, and every chunk of the largest group, in a block of its own. So no link depends
+on how full a bucket is, and there is one round, whatever the sizes; a bucket of n members, k of them outside its largest group, takes
+about k * n / large**2 blocks. All tables stay distributed; the driver sees counts.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import durable, sized_join
 
 #: Rows of buckets around one group that are compared in one task, so that pairs that meet in several are told apart once.
-HOME = 20_000
+HOME = 10_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -52,38 +53,61 @@ def starred(members: DataFrame) -> DataFrame:
     return sized_join(members, least, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"))
 
 
-def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, split: Callable | None = None) -> DataFrame:
-    """Verified pairs (a, b) that connect what all verified pairs of bucket mates would connect.
+def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None) -> DataFrame:
+    """(node, label) of the nodes that links between bucket mates connect with others; the label is the least node of the group.
 
-    stars has rows (bucket, a, b) as ``starred`` gives them. verify takes pairs (a, b), a < b, and returns those that are
-    links. mates takes rows (bucket, node, group) of buckets of up to ``large`` members and returns pairs (a, b) of
-    different groups, among them links between all groups that have any. split takes rows (bucket, node) of larger
-    buckets and returns rows of finer ones, in which similar members meet again. prune takes rows (bucket, node, group)
-    and may leave out those whose node has no link in the bucket.
+    stars has rows (bucket, a, b) as ``starred`` gives them. verify takes pairs (a, b) and returns those that are links.
+    mates takes rows (bucket, node, group, side) of buckets of up to ``large`` members and returns links, among them some
+    between all groups of a bucket that any links join; members of one side, if it is not -1, need not be compared. prune takes rows
+    (bucket, node) and may leave out those whose node has no link in the bucket.
     """
-    found, most, shrinks = None, None, split is not None
-    while True:
-        links = durable(verify(durable(stars.select("a", "b").distinct(), "pairs")).select("a", "b"), "links")
-        # a bucket all of whose members are linked with its least one is done
-        apart = durable(stars.join(links, ["a", "b"], "left_anti").select("bucket").distinct(), "apart")
-        found = links if found is None else durable(found.union(links), "links")
-        labels = components(found)
-        rows = _still_open(sized_join(stars, apart, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
-        if prune is not None:
-            rows = _still_open(prune(rows).drop("group"), labels)
-        sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
-        counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large"), F.max("n").alias("most")).first()
-        if not counts["all"]:
-            return found
-        few = sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi")
-        found = durable(found.union(verify(durable(mates(few).distinct(), "pairs")).select("a", "b")), "links")
-        if not counts["large"]:
-            return found
-        many = sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi").select("bucket", "node")
-        shrinks = shrinks and (most is None or 2 * counts["most"] <= most)
-        most = counts["most"]
-        # where splitting tells members apart no longer, buckets stay as they are, without those already compared
-        stars = durable(starred(durable(split(many).distinct() if shrinks else many, "finer")), "stars")
+    pairs = durable(stars.select("a", "b").distinct(), "pairs")
+    links = durable(verify(pairs).select("a", "b"), "links")
+    labels = components(links)
+    sides = pairs
+    for c in ("a", "b"):
+        sides = sized_join(sides, labels.toDF(c, f"label_{c}"), c, "left").withColumn(f"label_{c}", F.coalesce(f"label_{c}", c))
+    # a bucket whose members are all of its least one's group is done
+    apart = durable(sides.where("label_a <> label_b").select(F.struct("a", "b").alias("pair")), "apart")
+    if not apart.limit(1).count():
+        return labels
+    buckets = durable(sized_join(stars.select("bucket", F.struct("a", "b").alias("pair")), apart, "pair", "left_semi").select("bucket").distinct(), "open-buckets")
+    rows = _still_open(sized_join(stars, buckets, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
+    if prune is not None:
+        rows = _still_open(prune(rows).drop("group"), labels)
+    sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
+    counts = sizes.agg(F.count("*").alias("all"), F.count(F.when(F.col("n") > large, 1)).alias("large")).first()
+    if not counts["all"]:
+        return labels
+    few = rows if not counts["large"] else sized_join(rows, sizes.where(F.col("n") <= large).select("bucket"), "bucket", "left_semi")
+    more = durable(mates(few.withColumn("side", F.lit(-1))).select("a", "b"), "links")
+    if counts["large"]:
+        # what is linked by now need not meet in the blocks
+        labels = components(labels.toDF("a", "b").union(more))
+        many = _still_open(sized_join(rows, sizes.where(F.col("n") > large).select("bucket"), "bucket", "left_semi").drop("group"), labels)
+        more = durable(mates(durable(blocks(many, large), "blocks")).select("a", "b"), "links")
+    return components(labels.toDF("a", "b").union(more)) if more.limit(1).count() else labels
+
+
+def blocks(rows: DataFrame, large: int) -> DataFrame:
+    """Of rows (bucket, node, group), rows (bucket, node, group, side) of blocks of about ``large`` members, in which all pairs of different groups meet."""
+    half = max(1, large // 2)
+    groups = rows.groupBy("bucket", "group").agg(F.count("*").alias("n"))
+    most = groups.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("m"))
+    chunks = lambda n: F.ceil(n / F.lit(half)).cast("int")
+    most = most.select("bucket", F.col("m.group").alias("main"), chunks(F.col("m.n")).alias("ways"), chunks(F.col("n") - F.col("m.n")).alias("others"))
+    known = sized_join(rows, durable(most, "chunks"), "bucket").withColumn("in_main", F.col("group") == F.col("main"))
+    known = known.withColumn("chunk", F.pmod(F.xxhash64("node"), F.when(F.col("in_main"), F.col("ways")).otherwise(F.col("others"))).cast("int"))
+    # a block is (chunk of the others, chunk of the others from it on) or (chunk of the others, -1 - chunk of the main group)
+    place = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
+    count = lambda n: F.transform(F.sequence(F.lit(0), n), lambda i: i)
+    of_main = F.transform(count(F.col("others") - 1), lambda x: place(x, -1 - F.col("chunk"), 1))
+    with_main = F.transform(count(F.col("ways") - 1), lambda y: place(F.col("chunk"), -1 - y, 0))
+    own = F.array(place(F.col("chunk"), F.col("chunk"), -1))
+    below = F.transform(F.filter(count(F.col("others") - 1), lambda x: x < F.col("chunk")), lambda x: place(x, F.col("chunk"), 1))
+    above = F.transform(F.filter(count(F.col("others") - 1), lambda y: y > F.col("chunk")), lambda y: place(F.col("chunk"), y, 0))
+    dealt = known.withColumn("at", F.explode(F.when(F.col("in_main"), of_main).otherwise(F.concat(with_main, own, below, above))))
+    return dealt.select(F.xxhash64("bucket", "at.x", "at.y").alias("bucket"), "node", "group", "at.side")
 
 
 def with_homes(rows: DataFrame, size: int = HOME) -> DataFrame:

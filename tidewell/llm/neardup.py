@@ -28,16 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import changes, durable, fresh, lists, map_arrow, mix, prepare, seeded, shingles, sized_join, text_slices, whole_groups, words
-from .linking import components, link, starred
+from .linking import link, starred
 
 SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 63
 BAND = 3
 #: Members of a bucket up to which they are compared in one task, by products of ``COLUMNS`` shingles at a time; larger
-#: buckets are split by as many bands again of minima over the multisets.
+#: buckets are dealt out in blocks.
 LARGE = 1000
-_FACTORS = seeded(REGISTERS, 4) | np.uint64(1)
 COLUMNS = 2048
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
@@ -171,21 +170,8 @@ def _similar(batch: pa.RecordBatch, least: float):
     yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
 
-def _split(batch: pa.RecordBatch):
-    """Of rows (bucket, node, keys), rows (bucket, node) of finer buckets: minima over the keys agree as the registers do."""
-    keys = batch.column(2)
-    size = np.asarray(keys.value_lengths()).astype(np.int64)
-    some = np.flatnonzero(size > 0)
-    flat, starts = keys.flatten().to_numpy().view(np.uint64), (np.cumsum(size) - size)[some]
-    finer = np.repeat(batch.column(0).to_numpy()[some].view(np.uint64)[:, None], REGISTERS // BAND, 1)
-    finer = mix(finer + np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64))
-    for i, factor in enumerate(_FACTORS if len(some) else ()):
-        finer[:, i // BAND] = mix(finer[:, i // BAND] ^ np.minimum.reduceat(flat * factor, starts))
-    yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64).ravel()), batch.column(1).take(pa.array(np.repeat(some, finer.shape[1])))], ["bucket", "node"])
-
-
 def _alike(least: float):
-    """Of rows (bucket, node, group, keys) in the buckets' order, a similar pair for each two groups that have one."""
+    """Of rows (bucket, node, group, side, keys) in the buckets' order, a similar pair for each two groups that have one."""
 
     def run(batches):
         for table in whole_groups(batches, "bucket"):
@@ -210,6 +196,8 @@ def _alike(least: float):
                     both += block @ block.T
                 group = part.column("group").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
                 similar = (both >= least * (size[:, None] + size[None, :] - both)) & (both > 0) & (group[:, None] < group[None, :])
+                side = part.column("side").to_numpy()
+                similar &= (side[:, None] != side[None, :]) | (side[:, None] < 0)
                 i, j = np.nonzero(similar)
                 _, once = np.unique(group[i] << 32 | group[j], return_index=True)
                 node = part.column("node").to_pylist()
@@ -239,8 +227,10 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
 
     def verify(pairs: DataFrame) -> DataFrame:
         sets = multisets(pairs.select("a").union(pairs.select("b")).toDF("node"))
-        sides = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-        return map_arrow(sides, lambda b: _similar(b, least), "a binary, b binary")
+        sides = pairs
+        for c, name in (("a", "x"), ("b", "y")):  # a leader has all its mates
+            sides = sized_join(sides, sets.toDF(c, name), c, cost=1 + F.size(name) / 8)
+        return map_arrow(sides.select("a", "b", "x", "y"), lambda b: _similar(b, least), "a binary, b binary")
 
     def prune(rows: DataFrame) -> DataFrame:
         # two texts share no more than what either shares with any; the rest of both is in the union
@@ -254,17 +244,12 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
         union = F.col("n") + F.greatest("c", "s") - F.col("c")
         return sized_join(sized, smallest, "bucket").where(F.col("c") >= F.lit(least - 1e-9) * union).select("bucket", "node")
 
-    def with_keys(rows: DataFrame) -> DataFrame:
-        return rows.join(multisets(rows.select("node")), "node")
-
     def mates(rows: DataFrame) -> DataFrame:
-        held = with_keys(rows).select("bucket", "node", "group", "keys")
+        sets = multisets(rows.select("node"))
+        held = sized_join(rows, sets, "node", cost=1 + F.size("keys") / 8).select("bucket", "node", "group", "side", "keys")
         return held.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike(least), "a binary, b binary")
 
-    def split(rows: DataFrame) -> DataFrame:
-        return map_arrow(with_keys(rows).select("bucket", "node", "keys"), _split, "bucket bigint, node binary")
-
-    return components(link(durable(starred(durable(members, "bands")), "stars"), verify, mates, large, prune, split))
+    return link(durable(starred(durable(members, "bands")), "stars"), verify, mates, large, prune)
 
 
 def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY, large: int = LARGE) -> DataFrame:
