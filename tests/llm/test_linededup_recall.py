@@ -169,8 +169,12 @@ def test_many_unlike_lines_of_one_bucket_take_little(spark):
     text.sort(key=len)
     line, bucket = np.tile(np.arange(1000), 4), np.repeat(np.arange(4), 1000)
     began = time.time()
-    links = linededup.compared(text, line, bucket, np.full(4000, -1), np.arange(1000), 0.8)
-    assert links == [] and time.time() - began < 15
+    apart = linededup.Apart(100)
+    links = linededup.compared(text, line, bucket, np.full(4000, -1), np.arange(1000), 0.8, np.arange(1000), apart)
+    assert links == [] and time.time() - began < 15 and len(apart.keys) <= 100
+    apart.add(np.arange(90, dtype=np.uint64) + np.uint64(5))
+    apart.add(np.arange(90, dtype=np.uint64))
+    assert len(apart.keys) <= 100 and apart.has(np.array([3, 1 << 40], np.uint64)).tolist() == [True, False]
 
 
 def test_three_thousand_unlike_members_of_one_bucket(spark):

@@ -61,6 +61,8 @@ PACKED = 1 << 16
 COMPARED, PAIRS = 4 << 20, 1 << 20
 #: Code points of the runs whose counts rule pairs out, and counters a line.
 TRIPLE, COUNTERS = 3, 2048
+#: Pairs that a task remembers as not alike.
+REMEMBERED = 1 << 20
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
 PART, LOW = 1 << 21, (1 << 40) - 1
 #: Code points whose runs are counted at a time.
@@ -412,26 +414,48 @@ def mate_pairs(line: np.ndarray, bucket: np.ndarray, side: np.ndarray, size: np.
     return key // max(len(size), 1), key % max(len(size), 1)
 
 
-def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.ndarray, group: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Pairs of alike lines that join all groups of lines that alike bucket mates join, each pair once; see ``mate_pairs``."""
+class Apart:
+    """Pairs that a task has compared and found not alike, by 64-bit hashes; emptied beyond ``most``, which costs time and nothing else."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.keys = most, np.zeros(0, np.uint64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        return self.keys[np.minimum(at, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.keys = np.unique(np.concatenate([self.keys, keys] if len(self.keys) + len(keys) <= self.most else [keys[-self.most :]]))
+
+
+def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.ndarray, group: np.ndarray, least: float, names: np.ndarray, apart: Apart) -> list[tuple[int, int]]:
+    """Pairs of alike lines that join all groups of lines that alike bucket mates join, each pair once; see ``mate_pairs``.
+
+    ``names`` are 64-bit names of the lines, by which pairs are remembered.
+    """
     size = np.array([len(t) for t in text], np.int64)
     a, b = mate_pairs(line, bucket, side, size, group, least)
+    pair = mix(names[a].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + mix(names[b].view(np.uint64))
+    new = ~apart.has(pair)
+    a, b, pair = a[new], b[new], pair[new]
     kept = plausible(text, a, b, least)
-    a, b = a[kept], b[kept]
+    a, b, pair = a[kept], b[kept], pair[kept]
     groups, links = Groups(), []
     step = 64
     while len(a):
         # in few steps at first, as what they join need not be compared any more
         x, y = a[:step].tolist(), b[:step].tolist()
-        for i in np.flatnonzero(similar([text[i] for i in x], [text[i] for i in y], least)).tolist():
+        alike = similar([text[i] for i in x], [text[i] for i in y], least)
+        apart.add(pair[:step][~alike])
+        for i in np.flatnonzero(alike).tolist():
             u, v = groups.of(int(group[x[i]])), groups.of(int(group[y[i]]))
             if u != v:
                 groups.parent[u] = v
                 links.append((x[i], y[i]))
-        a, b = a[step:], b[step:]
+        a, b, pair = a[step:], b[step:], pair[step:]
         root = np.array([groups.of(g) for g in group.tolist()], np.int64)
         open_ = root[a] != root[b]
-        a, b = a[open_], b[open_]
+        a, b, pair = a[open_], b[open_], pair[open_]
         step = min(2 * step, 4096)
     return links
 
@@ -441,6 +465,7 @@ def _alike(least: float):
 
     def run(batches):
         tables: list[pa.Table] = []
+        apart = Apart()
         held = pairs = 0
 
         def flush():
@@ -450,7 +475,7 @@ def _alike(least: float):
             group = np.unique(table.column("group").to_numpy()[first], return_inverse=True)[1]
             bucket, size = table.column("bucket").to_numpy(), np.array([len(t) for t in text])[line]
             order = np.lexsort((line, size, bucket))
-            links = compared(text, line[order], bucket[order], table.column("side").to_numpy()[order], group, least)
+            links = compared(text, line[order], bucket[order], table.column("side").to_numpy()[order], group, least, nodes, apart)
             a, b = (nodes[[x[i] for x in links]] for i in (0, 1)) if links else (nodes[:0], nodes[:0])
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -498,16 +523,18 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
 
     # texts count by their bytes where it is asked whether they can be broadcast
     weight = 1 + F.length("normal") / 64
+    # given as numbers, so that few bytes that take long to compare are not put in few tasks
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        sides = pairs
+        sides = pairs.repartition(tasks, "a", "b")
         for c, name in (("a", "x"), ("b", "y")):
             sides = sized_join(sides, texts.select(F.col("node").alias(c), F.col("normal").alias(name)), c, cost=1 + F.length(name) / 64)
         return sides.select("a", "b", "x", "y").mapInArrow(lambda batches: _linked(batches, least), "a bigint, b bigint")
 
     def mates(rows: DataFrame) -> DataFrame:
         known = sized_join(with_homes(rows), texts.select("node", "normal"), "node", cost=weight).select("home", "bucket", "node", "group", "side", "normal")
-        return known.repartition("home").sortWithinPartitions("home").mapInArrow(_alike(least), "a bigint, b bigint")
+        return known.repartition(tasks, "home").sortWithinPartitions("home").mapInArrow(_alike(least), "a bigint, b bigint")
 
     labels = link(stars, verify, mates, large)
     return seen, labels.join(texts, "node").select("line", "label")

@@ -3,7 +3,7 @@
 In every bucket one member, the least, is compared with all the rest, and what is linked by then is put in groups. Buckets
 that are one group are done, nearly all of them. In the others members of different groups are compared inside the buckets' tasks, which give
 only what is alike. A bucket too large for a task is dealt out in blocks, exactly: its members outside its largest group are cut into
-chunks, and every chunk meets every chunk of them, and every chunk of the largest group, in a block of its own. So no link depends
+chunks, and every chunk meets every chunk of them, and every chunk of the largest group, in a block of its own; buckets with one largest group are put together first. So no link depends
 on how full a bucket is, and there is one round, whatever the sizes; a bucket of n members, k of them outside its largest group, takes
 about k * n / large**2 blocks. All tables stay distributed; the driver sees counts.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import durable, sized_join
 
 #: Rows of buckets around one group that are compared in one task, so that pairs that meet in several are told apart once.
-HOME = 10_000
+HOME = 50_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -93,10 +93,14 @@ def blocks(rows: DataFrame, large: int) -> DataFrame:
     """Of rows (bucket, node, group), rows (bucket, node, group, side) of blocks of about ``large`` members, in which all pairs of different groups meet."""
     half = max(1, large // 2)
     groups = rows.groupBy("bucket", "group").agg(F.count("*").alias("n"))
-    most = groups.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("m"))
+    most = groups.groupBy("bucket").agg(F.max(F.struct("n", "group")).alias("m"))
     chunks = lambda n: F.ceil(n / F.lit(half)).cast("int")
-    most = most.select("bucket", F.col("m.group").alias("main"), chunks(F.col("m.n")).alias("ways"), chunks(F.col("n") - F.col("m.n")).alias("others"))
-    known = sized_join(rows, durable(most, "chunks"), "bucket").withColumn("in_main", F.col("group") == F.col("main"))
+    # buckets round one main group mostly hold the same members, so they are put together; what that brings together beside can only be links too
+    joined = sized_join(rows, durable(most.select("bucket", F.col("m.group").alias("main")), "mains"), "bucket").select(F.col("main").alias("bucket"), "node", "group")
+    joined = durable(joined.distinct(), "joined-buckets")
+    in_main = F.col("group") == F.col("bucket")
+    most = joined.groupBy("bucket").agg(chunks(F.count(F.when(in_main, 1))).alias("ways"), chunks(F.count(F.when(~in_main, 1))).alias("others"))
+    known = sized_join(joined, durable(most, "chunks"), "bucket").withColumn("in_main", in_main)
     known = known.withColumn("chunk", F.pmod(F.xxhash64("node"), F.when(F.col("in_main"), F.col("ways")).otherwise(F.col("others"))).cast("int"))
     # a block is (chunk of the others, chunk of the others from it on) or (chunk of the others, -1 - chunk of the main group)
     place = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
