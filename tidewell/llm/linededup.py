@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-from .common import _IS_WORD, _LOWER, changes, durable, fresh, lists, map_arrow, mix, prepare, seeded, shingles, sized_join, span_hashes, text_slices, whole_groups, words
+from .common import _IS_WORD, _LOWER, changes, durable, fresh, lists, map_arrow, mix, prepare, row_slices, seeded, shingles, sized_join, span_hashes, text_slices, utf8, whole_groups, words
 from .editdistance import similar
 from .linking import link, starred, with_homes
 
@@ -64,7 +64,7 @@ TRIPLE, COUNTERS = 3, 2048
 #: Pairs that a task remembers as not alike.
 REMEMBERED = 1 << 20
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
-PART, LOW = 1 << 21, (1 << 40) - 1
+PART, LOW = 1 << 21, (1 << 32) - 1
 #: Code points whose runs are counted at a time.
 BLOCK = 1 << 20
 #: A nibble as four lanes of 16 bits, so that four counters are summed in one word.
@@ -159,7 +159,7 @@ def normal_lines(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[
     return [text[a:b].strip(b" ") for a, b in zip(at[starts].tolist(), at[ends].tolist())]
 
 
-_LINE = "digest binary, number int, line binary, node bigint, sim bigint, bands array<int>, normal string"
+_LINE = "digest binary, number int, line binary, node bigint, normal string"
 
 
 def _lines(batch: pa.RecordBatch):
@@ -174,17 +174,30 @@ def _lines(batch: pa.RecordBatch):
         first = np.zeros(len(node), bool)
         first[np.unique(node, return_index=True)[1]] = True
         texts = [x.decode("utf-8", "replace") if f else None for x, f in zip(own, first.tolist())]
-        hashes, begin, end, counts = words(raw, np.append(starts, len(raw)))
+        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        pick = pa.array(row[some])
+        columns = [part.column(0).take(pick), part.column(2).take(pick), pa.array(nth[some], pa.int32()), pa.array(digests, pa.binary()), pa.array(node), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "number", "line", "node", "normal"])
+
+
+def line_keys(normal: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(key, line) of all buckets of lines, by their normal forms."""
+    raw, at = utf8(normal)
+    keys, lines = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, j in row_slices(at):
+        piece, edges = raw[at[i] : at[j]], at[i : j + 1] - at[i]
+        hashes, begin, end, counts = words(piece, edges)
         grams, number = shingles(hashes, counts, 2)
         kept = telling(begin, end, counts)
         sums = np.concatenate([[0], np.cumsum(kept)])
         held = sums[np.cumsum(number)] - sums[np.cumsum(number) - number]
-        sims = simhash(grams, number)[some].view(np.int64)
-        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        pick = pa.array(row[some])
-        columns = [part.column(0).take(pick), part.column(2).take(pick), pa.array(nth[some], pa.int32()), pa.array(digests, pa.binary()), pa.array(node), pa.array(sims)]
-        columns += [line_bands(grams[kept], held[some], own, counts[some]), pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "number", "line", "node", "sim", "bands", "normal"])
+        data = piece.tobytes()
+        own = [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        band = line_bands(grams[kept], held, own, counts)
+        key, line = bucket_keys(simhash(grams, number), band.flatten().to_numpy(), np.asarray(band.value_lengths()).astype(np.int64))
+        keys.append(key)
+        lines.append(line + i)
+    return np.concatenate(keys), np.concatenate(lines)
 
 
 def _with_digest(documents: DataFrame) -> DataFrame:
@@ -203,23 +216,24 @@ def bucket_keys(sim: np.ndarray, band: np.ndarray, lengths: np.ndarray) -> tuple
     return np.concatenate([*blocks, banded]).view(np.int64), np.concatenate([np.tile(np.arange(n), len(MASKS)), np.repeat(np.arange(n), lengths)])
 
 
-def _pack(parts: int, most: int):
-    """Rows (part, keys, nodes, hot): the bucket keys of a task's lines, dealt by key; the lines of a hot bucket by line.
+def _pack(parts: int, most: int, keys_of=line_keys):
+    """Rows (part, base, keys, places, hot): the bucket keys of a task's lines, dealt by key; the lines of a hot bucket by line.
 
-    A bucket is hot if ``most`` lines that are packed together, or more, are in it. A part of its lines is negative. The
-    bucket's own part gets its key, as hot, and its first line.
+    Rows come in the order of their places. A bucket is hot if ``most`` lines that are packed together, or more, are in it.
+    A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base.
     """
 
     def flush(held):
         table = pa.Table.from_batches(held).combine_chunks()
-        node, at = np.unique(table.column("node").to_numpy(), return_index=True)
+        at = np.sort(np.unique(table.column("node").to_numpy(), return_index=True)[1])
         table = table.take(pa.array(at)).combine_chunks()
-        band = table.column("bands").combine_chunks()
-        key, line = bucket_keys(table.column("sim").to_numpy().view(np.uint64), band.flatten().to_numpy(), np.asarray(band.value_lengths()).astype(np.int64))
-        # parts are ranges of keys; within its part a bucket is 40 bits, of which only these are sent
-        key = ((key >> 32) + (1 << 31)) * parts >> 32 << 40 | key & LOW
+        place = table.column("place").to_numpy()
+        base = int(place[0])
+        key, line = keys_of(table.column("normal").combine_chunks())
+        # parts are ranges of keys; within its part a bucket is 32 bits, of which only these are sent
+        key = ((key >> 32) + (1 << 31)) * parts >> 32 << 32 | key & LOW
         order = np.argsort(key)
-        key, member = key[order], node[line[order]]
+        key, member = key[order], (place - base)[line[order]]
         first = np.flatnonzero(changes(key))
         size = np.diff(np.append(first, len(key)))
         rows = []
@@ -228,59 +242,69 @@ def _pack(parts: int, most: int):
             lead = np.zeros(len(key), bool)
             lead[first] = True
             away = -1 - np.mod(member[hot], parts)
-            order = np.argsort(away)
-            rows += spread(away[order], key[hot][order], member[hot][order], None)
+            order = np.argsort(away, kind="stable")
+            rows += spread(base, away[order], key[hot][order], member[hot][order], None)
             key, member, shared = key[lead | ~hot], member[lead | ~hot], hot[lead | ~hot]
         else:
             shared = np.zeros(len(key), bool)
-        rows += spread(key >> 40, key, member, shared)
-        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["part", "keys", "nodes", "hot"])
+        rows += spread(base, key >> 32, key, member, shared)
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["part", "base", "keys", "places", "hot"])
 
-    def spread(place, key, member, shared):
-        edges = np.append(np.flatnonzero(changes(place)), len(place)).tolist()
+    def spread(base, part, key, member, shared):
+        edges = np.append(np.flatnonzero(changes(part)), len(part)).tolist()
+        places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :3]
         if shared is None:
-            return [(int(place[a]), key[a:b].tobytes(), member[a:b].tobytes(), b"") for a, b in zip(edges, edges[1:])]
-        low = key.view(np.uint8).reshape(-1, 8)[:, :5]
-        return [(int(place[a]), low[a:b].tobytes(), member[a:b].tobytes(), key[a:b][shared[a:b]].tobytes()) for a, b in zip(edges, edges[1:])]
+            return [(int(part[a]), base, key[a:b].tobytes(), places[a:b].tobytes(), b"") for a, b in zip(edges, edges[1:])]
+        low = key.view(np.uint8).reshape(-1, 8)[:, :4]
+        return [(int(part[a]), base, low[a:b].tobytes(), places[a:b].tobytes(), key[a:b][shared[a:b]].tobytes()) for a, b in zip(edges, edges[1:])]
 
     def run(batches):
-        held, n = [], 0
+        held, n, start = [], 0, 0
         for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= PACKED:
-                yield flush(held)
-                held, n = [], 0
-        if n:
+            if not batch.num_rows:
+                continue
+            place = batch.column(0).to_numpy()
+            # a batch may go on in another task's rows
+            for a, b in zip([0, *(np.flatnonzero(np.diff(place >> 40)) + 1).tolist()], [*(np.flatnonzero(np.diff(place >> 40)) + 1).tolist(), len(place)]):
+                if held and (n >= PACKED or int(place[b - 1]) - start >= 1 << 24 or int(place[a]) < start):
+                    yield flush(held)
+                    held, n = [], 0
+                start = start if held else int(place[a])
+                held.append(batch.slice(a, b - a))
+                n += b - a
+        if held:
             yield flush(held)
 
     return run
 
 
 def _unpack(key, table):
-    """(bucket, least node, node) for the lines of buckets of two or more; (bucket, null, node) for those of hot buckets."""
-    nodes, hot = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("nodes", "hot"))
-    keys, part = b"".join(table.column("keys").to_pylist()), key[0].as_py()
+    """(bucket, first place, place) for the lines of buckets of two or more; (bucket, null, place) for those of hot buckets."""
+    hot = np.frombuffer(b"".join(table.column("hot").to_pylist()), np.int64)
+    places, part = b"".join(table.column("places").to_pylist()), key[0].as_py()
+    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 3
+    wide = np.zeros((len(places) // 3, 8), np.uint8)
+    wide[:, :3] = np.frombuffer(places, np.uint8).reshape(-1, 3)
+    place = wide.view("<i8").ravel() + np.repeat(table.column("base").to_numpy(), sizes)
+    keys = b"".join(table.column("keys").to_pylist())
     if part < 0:
         keys = np.frombuffer(keys, np.int64)
-        return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(nodes)], ["bucket", "a", "b"])
-    low = np.zeros((len(nodes), 8), np.uint8)
-    low[:, :5] = np.frombuffer(keys, np.uint8).reshape(-1, 5)
-    keys = low.view(np.int64).ravel() | part << 40
+        return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(place)], ["bucket", "a", "b"])
+    keys = np.frombuffer(keys, "<u4").astype(np.int64) | part << 32
     order = np.argsort(keys)
-    keys, nodes = keys[order], nodes[order]
+    keys, place = keys[order], place[order]
     alone = changes(keys)
     alone &= np.append(alone[1:], True)[: len(alone)]
     lit = np.isin(keys, hot)
-    keys, nodes, lit = (c[~alone | lit] for c in (keys, nodes, lit))
-    order = np.lexsort((nodes, keys))
-    keys, nodes, lit = keys[order], nodes[order], lit[order]
-    kept = changes(keys, nodes)
-    keys, nodes, lit = keys[kept], nodes[kept], lit[kept]
+    keys, place, lit = (c[~alone | lit] for c in (keys, place, lit))
+    order = np.lexsort((place, keys))
+    keys, place, lit = keys[order], place[order], lit[order]
+    kept = changes(keys, place)
+    keys, place, lit = keys[kept], place[kept], lit[kept]
     new = changes(keys)
-    least = nodes[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else nodes
+    least = place[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else place
     kept = ~new | lit
-    return pa.Table.from_arrays([pa.array(keys[kept]), pa.array(least[kept], mask=lit[kept]), pa.array(nodes[kept])], ["bucket", "a", "b"])
+    return pa.Table.from_arrays([pa.array(keys[kept]), pa.array(least[kept], mask=lit[kept]), pa.array(place[kept])], ["bucket", "a", "b"])
 
 
 # Comparing -------------------------------------------------------------------------------------
@@ -506,16 +530,24 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     spark = documents.sparkSession
     prepare(spark)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    seen = durable(map_arrow(_with_digest(documents), _lines, f"doc_id {kind}, {_LINE}"), "lines")
+    # a line's place is its task's number and, below 2**40, its own
+    numbered = map_arrow(_with_digest(documents), _lines, f"doc_id {kind}, {_LINE}").withColumn("place", F.shiftleft(F.spark_partition_id().cast("bigint"), 40) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    seen = durable(numbered, "lines")
     n = seen.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * (len(MASKS) + BANDS) // PART)
     # a part that gets one key from every flush stays as small as others
     hot = max(2, PART // (2 * (n // PACKED + parts)))
-    packed = seen.select("node", "sim", "bands").mapInArrow(_pack(parts, hot), "part int, keys binary, nodes binary, hot binary")
+    packed = seen.where("normal is not null").select("place", "node", "normal").mapInArrow(_pack(parts, hot), "part int, base bigint, keys binary, places binary, hot binary")
     stars = durable(packed.groupBy("part").applyInArrow(_unpack, "bucket bigint, a bigint, b bigint"), "stars")
     common = durable(stars.where("a is null").select("bucket", F.col("b").alias("node")).distinct(), "hot-members")
     if common.limit(1).count():
         stars = durable(stars.where("a is not null").union(starred(common)), "stars")
+    # from here on lines go by their digests
+    known = durable(stars.select("a").union(stars.select("b")).distinct().toDF("place"), "wanted-places")
+    known = durable(sized_join(seen.where("normal is not null").select("place", "node"), known, "place", "left_semi", skewed=False), "wanted-nodes")
+    for c in ("a", "b"):
+        stars = sized_join(stars, known.toDF(c, f"{c}_node"), c)
+    stars = durable(stars.select("bucket", F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a <> b").distinct(), "stars")
     wanted = durable(stars.select("a").union(stars.select("b")).distinct().toDF("node"), "wanted-lines")
     # nodes are 64 bits of a line's digest; should two candidates share one, the least stands for it and the other stays as it is
     texts = sized_join(seen.where("normal is not null").select("node", "normal", "line"), wanted, "node", "left_semi")
