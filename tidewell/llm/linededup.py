@@ -6,8 +6,8 @@ linked if they are candidates and their edit similarity, 1 - Levenshtein distanc
 points, is ``SIMILARITY`` or more. Of each connected group the first occurrence, by doc_id, text digest and line
 number, stays; all others are removed from their documents.
 
-Candidates: the 64 bits of a SimHash over pairs of neighbouring words are cut into five blocks. Hashes that differ in
-three bits agree in two whole blocks at least, so every choice of two blocks, some 26 bits, is a bucket, and no
+Candidates: the 64 bits of a SimHash over pairs of neighbouring words are cut into six blocks. Hashes that differ in
+three bits agree in three whole blocks at least, so every choice of three blocks, some 32 bits, is a bucket, and no
 pair within the distance is missed. One changed word moves the SimHash of most lines further than that, so there are
 ``BANDS`` buckets more by the minima of ``ROWS`` hash functions over the set of word pairs of ``LONG`` bytes or more
 (all pairs if there are not three such; pairs of short words are common to lines that are not alike): lines that share a
@@ -45,12 +45,12 @@ from .linking import link, starred, with_homes
 
 DISTANCE = 3
 SIMILARITY = 0.8
-_EDGES = [0, 13, 26, 39, 52, 64]
-MASKS = [sum(((1 << _EDGES[i + 1]) - (1 << _EDGES[i])) for i in chosen) for chosen in combinations(range(5), 2)]
+_EDGES = [0, 11, 22, 33, 44, 54, 64]
+MASKS = [sum(((1 << _EDGES[i + 1]) - (1 << _EDGES[i])) for i in chosen) for chosen in combinations(range(6), 3)]
 BANDS, ROWS, LONG = 28, 3, 8
 #: Words up to which a line is also looked up by its runs of ``GRAM`` bytes.
-SHORT, GRAM = 10, 6
-FINE_BANDS, FINE_ROWS = 52, 3
+SHORT, GRAM = 10, 5
+FINE_BANDS, FINE_ROWS = 52, 4
 _FACTORS = seeded(BANDS * ROWS, 6) | np.uint64(1)
 _FINE_FACTORS = seeded(FINE_BANDS * FINE_ROWS, 7) | np.uint64(1)
 #: Members of a bucket up to which they are compared in one task; larger buckets are dealt out in blocks.
