@@ -56,7 +56,7 @@ _FINE_FACTORS = seeded(FINE_BANDS * FINE_ROWS, 7) | np.uint64(1)
 #: Members of a bucket up to which they are compared in one task; larger buckets are dealt out in blocks.
 LARGE = 1000
 #: Lines whose bucket keys a task packs at a time.
-PACKED = 1 << 16
+PACKED = 1 << 14
 #: Bytes of texts that are compared at a time, and pairs of these, but for one bucket's.
 COMPARED, PAIRS = 4 << 20, 1 << 20
 #: Code points of the runs whose counts rule pairs out, and counters a line.
