@@ -64,7 +64,7 @@ TRIPLE, COUNTERS = 3, 2048
 #: Pairs that a task remembers as not alike.
 REMEMBERED = 1 << 20
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
-PART, LOW = 1 << 21, (1 << 32) - 1
+PART, LOW = 1 << 19, (1 << 32) - 1
 #: Code points whose runs are counted at a time.
 BLOCK = 1 << 20
 #: A nibble as four lanes of 16 bits, so that four counters are summed in one word.
