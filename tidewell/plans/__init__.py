@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import json_long, money
 from ..operators import asof_join, greeting
 from ..sources import table
-from ..streaming import daily_counts, event_stream, run_to_end
+from ..streaming import closed_sessions, daily_counts, event_stream, run_appended, run_to_end, windowed_counts
 
 
 def hello(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,14 @@ def streamed_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_end(daily_counts(event_stream(spark, sf_dir)), spark)
 
 
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_appended(windowed_counts(event_stream(spark, sf_dir)), spark)[0]
+
+
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_appended(closed_sessions(event_stream(spark, sf_dir)), spark)[0]
+
+
 QUERIES = {
     "greeting": hello,
     "pricing_summary": pricing_summary,
@@ -95,6 +103,8 @@ QUERIES = {
     "sessions": user_sessions,
     "asof_join": purchases_before_errors,
     "stream_daily_counts": streamed_daily_counts,
+    "stream_windows": streamed_windows,
+    "stream_sessions": streamed_sessions,
 }
 
 _M = "CAST({} AS DECIMAL(15,2))".format
@@ -113,4 +123,7 @@ SQL = {
     "sessions": "WITH gaps AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), runs AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps) SELECT user_id, min(ts) AS begun, count(*) AS n FROM runs GROUP BY user_id, run",
     "asof_join": "SELECT event_id, (SELECT max(struct_pack(t := p.ts, i := p.event_id)).i FROM events p WHERE p.event_type = 'purchase' AND p.user_id = e.user_id AND p.ts <= e.ts) AS purchase_id FROM events e WHERE event_type = 'error'",
     "stream_daily_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2",
+    # windows and sessions that the watermark, an hour behind the latest event, has passed
+    "stream_windows": "SELECT date_trunc('day', ts)::TIMESTAMP AS begun, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2 HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",
+    "stream_sessions": "WITH gaps AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)), runs AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps) SELECT user_id, min(ts) AS begun, count(*) AS n FROM runs GROUP BY user_id, run HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",
 }
