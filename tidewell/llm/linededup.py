@@ -220,7 +220,8 @@ def _pack(parts: int, most: int, keys_of=line_keys):
     """Rows (part, base, keys, places, hot): the bucket keys of a task's lines, dealt by key; the lines of a hot bucket by line.
 
     Rows come in the order of their places. A bucket is hot if ``most`` lines that are packed together, or more, are in it.
-    A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base.
+    A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base,
+    and go with three bytes of the line's digest.
     """
 
     def flush(held):
@@ -233,7 +234,9 @@ def _pack(parts: int, most: int, keys_of=line_keys):
         # parts are ranges of keys; within its part a bucket is 32 bits, of which only these are sent
         key = ((key >> 32) + (1 << 31)) * parts >> 32 << 32 | key & LOW
         order = np.argsort(key)
-        key, member = key[order], (place - base)[line[order]]
+        # with a place, three bytes of the line's digest, by which equal lines of other tasks are told
+        mark = (place - base) | (table.column("node").to_numpy() & 0xFFFFFF) << 24
+        key, member = key[order], mark[line[order]]
         first = np.flatnonzero(changes(key))
         size = np.diff(np.append(first, len(key)))
         rows = []
@@ -252,7 +255,7 @@ def _pack(parts: int, most: int, keys_of=line_keys):
 
     def spread(base, part, key, member, shared):
         edges = np.append(np.flatnonzero(changes(part)), len(part)).tolist()
-        places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :3]
+        places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
         if shared is None:
             return [(int(part[a]), base, key[a:b].tobytes(), places[a:b].tobytes(), b"") for a, b in zip(edges, edges[1:])]
         low = key.view(np.uint8).reshape(-1, 8)[:, :4]
@@ -282,25 +285,25 @@ def _unpack(key, table):
     """(bucket, first place, place) for the lines of buckets of two or more; (bucket, null, place) for those of hot buckets."""
     hot = np.frombuffer(b"".join(table.column("hot").to_pylist()), np.int64)
     places, part = b"".join(table.column("places").to_pylist()), key[0].as_py()
-    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 3
-    wide = np.zeros((len(places) // 3, 8), np.uint8)
-    wide[:, :3] = np.frombuffer(places, np.uint8).reshape(-1, 3)
-    place = wide.view("<i8").ravel() + np.repeat(table.column("base").to_numpy(), sizes)
+    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 6
+    wide = np.zeros((len(places) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(places, np.uint8).reshape(-1, 6)
+    mark = wide.view("<i8").ravel()
+    place = (mark & 0xFFFFFF) + np.repeat(table.column("base").to_numpy(), sizes)
     keys = b"".join(table.column("keys").to_pylist())
     if part < 0:
         keys = np.frombuffer(keys, np.int64)
         return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(place)], ["bucket", "a", "b"])
     keys = np.frombuffer(keys, "<u4").astype(np.int64) | part << 32
-    order = np.argsort(keys)
+    # of equal lines the first stands for all; unlike lines of a bucket are taken for equal with probability 2**-24
+    order = np.lexsort((place, mark >> 24, keys))
     keys, place = keys[order], place[order]
+    kept = changes(keys, mark[order] >> 24)
+    keys, place = keys[kept], place[kept]
     alone = changes(keys)
     alone &= np.append(alone[1:], True)[: len(alone)]
     lit = np.isin(keys, hot)
     keys, place, lit = (c[~alone | lit] for c in (keys, place, lit))
-    order = np.lexsort((place, keys))
-    keys, place, lit = keys[order], place[order], lit[order]
-    kept = changes(keys, place)
-    keys, place, lit = keys[kept], place[kept], lit[kept]
     new = changes(keys)
     least = place[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else place
     kept = ~new | lit

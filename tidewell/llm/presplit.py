@@ -25,7 +25,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: All code points.
 POINTS = 0x110000
 #: Pieces that a process remembers at most; beyond that it starts anew, which changes no result.
-REMEMBERED = 3_000_000
+REMEMBERED = 1_500_000
 
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 _CODES = seeded(POINTS, 23)
