@@ -50,7 +50,7 @@ MASKS = [sum(((1 << _EDGES[i + 1]) - (1 << _EDGES[i])) for i in chosen) for chos
 BANDS, ROWS, LONG = 28, 3, 8
 #: Words up to which a line is also looked up by its runs of ``GRAM`` bytes.
 SHORT, GRAM = 10, 5
-FINE_BANDS, FINE_ROWS = 52, 4
+FINE_BANDS, FINE_ROWS = 64, 4
 _FACTORS = seeded(BANDS * ROWS, 6) | np.uint64(1)
 _FINE_FACTORS = seeded(FINE_BANDS * FINE_ROWS, 7) | np.uint64(1)
 #: Members of a bucket up to which they are compared in one task; larger buckets are dealt out in blocks.
