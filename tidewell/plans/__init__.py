@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import json_long, money
-from ..operators import asof_join, greeting
+from ..operators import asof_join, greeting, interval_join
 from ..sources import table
-from ..streaming import closed_sessions, daily_counts, event_stream, run_appended, run_to_end, windowed_counts
+from ..streaming import closed_sessions, daily_counts, event_pairs, event_stream, run_appended, run_to_end, windowed_counts
 
 
 def hello(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,13 @@ def purchases_before_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(errors, bought, ["user_id"], "ts", ["purchase_id"], F.col("purchase_id")).select("event_id", "purchase_id")
 
 
+def views_before_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    viewed = events.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("earlier_id"))
+    return interval_join(bought, viewed, ["user_id"], "ts", timedelta(hours=-1), timedelta(0)).select("event_id", "earlier_id")
+
+
 def streamed_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_end(daily_counts(event_stream(spark, sf_dir)), spark)
 
@@ -88,6 +97,11 @@ def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_appended(closed_sessions(event_stream(spark, sf_dir)), spark)[0]
 
 
+def streamed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    viewed, bought = (event_stream(spark, sf_dir).where(F.col("event_type") == t) for t in ("view", "purchase"))
+    return run_appended(event_pairs(viewed, bought), spark)[0]
+
+
 QUERIES = {
     "greeting": hello,
     "pricing_summary": pricing_summary,
@@ -102,11 +116,14 @@ QUERIES = {
     "json": json_totals,
     "sessions": user_sessions,
     "asof_join": purchases_before_errors,
+    "interval_join": views_before_purchases,
     "stream_daily_counts": streamed_daily_counts,
     "stream_windows": streamed_windows,
     "stream_sessions": streamed_sessions,
+    "stream_interval_join": streamed_pairs,
 }
 
+_PAIRS = "SELECT p.event_id, v.event_id AS earlier_id FROM events p JOIN events v ON p.user_id = v.user_id AND v.ts >= p.ts - INTERVAL 1 HOUR AND v.ts <= p.ts WHERE p.event_type = 'purchase' AND v.event_type = 'view'"
 _M = "CAST({} AS DECIMAL(15,2))".format
 SQL = {
     "greeting": "SELECT 'Hello from tidewell!' AS greeting",
@@ -122,6 +139,8 @@ SQL = {
     "json": "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1",
     "sessions": "WITH gaps AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), runs AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps) SELECT user_id, min(ts) AS begun, count(*) AS n FROM runs GROUP BY user_id, run",
     "asof_join": "SELECT event_id, (SELECT max(struct_pack(t := p.ts, i := p.event_id)).i FROM events p WHERE p.event_type = 'purchase' AND p.user_id = e.user_id AND p.ts <= e.ts) AS purchase_id FROM events e WHERE event_type = 'error'",
+    "interval_join": _PAIRS,
+    "stream_interval_join": _PAIRS,
     "stream_daily_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2",
     # windows and sessions that the watermark, an hour behind the latest event, has passed
     "stream_windows": "SELECT date_trunc('day', ts)::TIMESTAMP AS begun, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY 1, 2 HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",

@@ -33,6 +33,18 @@ def windowed_counts(events: DataFrame, delay: str = "1 hour", width: str = "1 da
     return rows.agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total")).select(F.col("w.start").cast("timestamp_ntz").alias("begun"), "event_type", "n", F.col("total").cast("double").alias("total"))
 
 
+def event_pairs(earlier: DataFrame, later: DataFrame, within: str = "1 hour", delay: str = "1 hour", how: str = "inner") -> DataFrame:
+    """event_id of each later event and earlier_id of each earlier one of the same user, at most ``within`` before it; both are streams.
+
+    Watermarks on both sides and the bounds on the times let Spark drop a row's state once no row to come can meet it. With ``how``
+    "left_outer" a later event that meets none comes with a null, when the watermark has passed it. Rows without a user or time meet nothing.
+    """
+    a = later.withWatermark("ts", delay).select("event_id", "user_id", "ts")
+    b = earlier.withWatermark("ts", delay).select(F.col("event_id").alias("earlier_id"), F.col("user_id").alias("earlier_user"), F.col("ts").alias("earlier_ts"))
+    near = F.expr(f"user_id = earlier_user and earlier_ts >= ts - interval {within} and earlier_ts <= ts")
+    return a.join(b, near, how).select("event_id", "earlier_id")
+
+
 def run_appended(result: DataFrame, spark: SparkSession) -> tuple[DataFrame, dict[str, int]]:
     """Runs a stream over what is there now in append mode; returns its rows as a table, and counts.
 
