@@ -25,10 +25,11 @@ def brute_likeness(f, g):
     a, b = marks(f), marks(g)
     if not a and not b:
         return 1.0
-    shifts = {}
-    for key in a.keys() & b.keys():
-        shifts[a[key] - b[key]] = shifts.get(a[key] - b[key], 0) + 1
-    return 2 * max(shifts.values(), default=0) / (len(a) + len(b))
+    met = np.array([y for _, y in sorted((a[key], b[key]) for key in a.keys() & b.keys())], np.int64)
+    best = np.ones(len(met), np.int64)  # of the chain that ends here
+    for i in range(1, len(met)):
+        best[i] = 1 + (best[:i] * (met[:i] < met[i])).max()
+    return 2 * int(best.max(initial=0)) / (len(a) + len(b))
 
 
 def test_syncmers_depend_on_their_own_bytes_and_leave_no_wide_gap():
@@ -114,3 +115,35 @@ def test_anchors_are_closed_syncmers_by_definition():
     small = [order(raw[i : i + S].tolist()) for i in range(len(raw) - S + 1)]
     windows = [small[i : i + K - S + 1] for i in range(len(raw) - K + 1)]
     assert syncmers(raw, np.array([0, len(raw)])).tolist() == [i for i, w in enumerate(windows) if min(w) in (w[0], w[-1])]
+
+
+def _alike(t, u):
+    sides = [anchors(*utf8(pa.array([x]))) for x in (t, u)]
+    return likeness(*sides)[0]
+
+
+def test_insertions_deletions_and_moved_passages():
+    rng = np.random.default_rng(9)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(2000)]
+    text = " ".join(words)
+    assert _alike(text, " ".join([*words[:1000], "inserted", *words[1000:]])) > 0.97
+    assert _alike(text, " ".join([*words[:667], "one", *words[667:1333], "two", *words[1333:]])) > 0.95
+    assert _alike(text, " ".join([*words[:500], *words[520:]])) > 0.95
+    assert _alike(text, " ".join(w for i, w in enumerate(words) if i % 100)) > 0.7  # twenty places
+    # halves that change places keep one of them in order
+    assert 0.45 < _alike(text, " ".join([*words[1000:], *words[:1000]])) < 0.55
+    others = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(2000)]
+    assert _alike(text, " ".join(others)) < 0.05 and _alike(text, "") == 0.0
+
+
+def test_likeness_of_shuffled_anchors_equals_brute_force():
+    rng = np.random.default_rng(10)
+    for _ in range(40):
+        prints = []
+        for _ in range(2):
+            n = int(rng.integers(0, 40))
+            prints.append(spell(np.cumsum(rng.integers(1, 40, n)), rng.integers(0, 12, n), np.array([n])))
+        f, g = prints[0][0], prints[1][0]
+        assert abs(likeness(read([f]), read([g]))[0] - brute_likeness(f, g)) < 1e-12
+    both = read([f, g, f]), read([g, f, f])
+    assert np.allclose(likeness(*both), [brute_likeness(f, g), brute_likeness(g, f), 1.0])

@@ -5,9 +5,9 @@ first or last place. Whether it is depends on those k bytes alone, so a copied p
 wherever it stands; and of any k-s neighbouring substrings one is an anchor, so gaps are at most k-s.
 A fingerprint is the anchors in order, five characters each: the gap to the one before, then 24 bits of the
 anchor's hash. A text of fewer than k bytes, but not none, has one anchor, itself. The likeness of two
-fingerprints is positional: the n-th occurrence of a hash in one is matched with the n-th in the other, the matches
-are counted for each difference of positions, and twice the largest count is divided by the number of
-anchors of both. Two empty fingerprints have a likeness of 1.
+fingerprints is positional: the n-th occurrence of a hash in one is matched with the n-th in the other, and of the
+matches the longest chain is taken that runs forwards in both, so that what is inserted or left out costs the anchors
+over it and no others. Twice the chain's length is divided by the number of anchors of both. Two empty fingerprints have a likeness of 1.
 
 How it runs: a pass over the ids alone cuts them into stated ranges, so that a row's range is the same in every plan
 that asks for it. Documents are dealt by range and sorted by descending doc_id; each task streams its rows and sees every
@@ -21,6 +21,7 @@ null first; equal rows are returned once each. A lone document is its own succes
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -115,14 +116,30 @@ def likeness(a: tuple, b: tuple) -> np.ndarray:
     both = a[2] + b[2]
     most = np.zeros(len(both), np.int64)
     if len(ok):
-        row, shift = kb[ok] >> (24 + width), pa_[at[ok]] - pb[ok]
-        order = np.lexsort((shift, row))
-        row, shift = row[order], shift[order]
-        first = np.flatnonzero(changes(row, shift))
-        np.maximum.at(most, row[first], np.diff(np.append(first, len(shift))))
+        row, x, y = kb[ok] >> (24 + width), pa_[at[ok]], pb[ok]
+        order = np.lexsort((x, row))
+        row, y = row[order], y[order]
+        first = np.flatnonzero(changes(row))
+        ends = np.append(first[1:], len(row))
+        back = np.zeros(len(row), np.int64)
+        back[1:] = (y[1:] < y[:-1]) & (row[1:] == row[:-1])
+        most[row[first]] = ends - first
+        for i in np.flatnonzero(np.add.reduceat(back, first)).tolist():  # the others run forwards as they are
+            most[row[first[i]]] = _chain(y[first[i] : ends[i]])
     return np.where(both > 0, 2 * most / np.maximum(both, 1), 1.0)
 
 
+def _chain(places: np.ndarray) -> int:
+    """The length of the longest ascending subsequence."""
+    tails: list[int] = []
+    for v in places.tolist():
+        if not tails or v > tails[-1]:
+            tails.append(v)
+        else:
+            tails[bisect_left(tails, v)] = v
+    return len(tails)
+
+
 def _take(side: tuple, rows: slice) -> tuple:
     position, hashes, counts = side
     ends = np.concatenate([[0], np.cumsum(counts)])
