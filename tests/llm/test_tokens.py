@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from tests.llm.conftest import documents, sample
 from tidewell.llm.bpe import Automaton, coder, encode_decode, op8, tokenizer_spec
 from tidewell.llm.common import utf8
-from tidewell.llm.presplit import plain_rows
+from tidewell.llm.presplit import Presplit
 from tidewell.llm.tokenfile import Block, compress, op2, pack, packed, read_tokens, unpacked, write_tokens
 
 ODD = ["", None, " ", "'s", "it's ''s 'sound 'll'VE", "<|endoftext|> a <|startoftext|>x", "é é", "ΣΣ ΑΣ", "日本語 text", "ﬁ İ", "a b\u0085c\x1fd", "same", "same", "x" * 30000, "ab " * 20000, "\U0001f600 1١²"]
@@ -40,8 +40,7 @@ def test_code_points_split_as_in_the_library(library):
     for t in texts:
         pieces = [w for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(t))]
         raw, at = utf8(pa.array([t]))
-        assert plain_rows(raw, at)[0]
-        numbers, counts = split.plain(raw, at)
+        numbers, counts = split.pieces(raw, at)
         assert counts[0] == len(pieces), repr(t)
         assert split.ids.gather(numbers)[0].tolist() == expected(library, t), repr(t)
 
@@ -50,12 +49,31 @@ def test_odd_texts_among_plain_ones(library):
     split = coder(tokenizer_spec())[1]
     texts = ["plain one", "e\u0301 odd", "", "İ", "plain two’s", "x\u0301"]
     raw, at = utf8(pa.array(texts))
-    numbers, counts = split.plain(raw, at)
+    numbers, counts = split.pieces(raw, at)
     ends = np.cumsum(counts)
     for t, a, b in zip(texts, ends - counts, ends):
         assert split.ids.gather(numbers[a:b])[0].tolist() == expected(library, t), repr(t)
 
 
+def test_special_tokens_and_their_beginnings_stay_on_the_arrays(library, monkeypatch):
+    def never(*_):
+        raise AssertionError("the slow steps")
+
+    monkeypatch.setattr(Presplit, "other", never)
+    split = coder(tokenizer_spec())[1]
+    rnd = random.Random(6)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "<|", "|>", "<|ENDOFTEXT|>", "<|x|>", "'", "s", "e", "\u0301", " ", "\n", "9", "word", "é", "日"]
+    texts = ["", "<|endoftext|>", "", "<|endoftext|><|endoftext|>", "<|endof", "text|>", "|> <|"] + ["".join(rnd.choices(bits, k=rnd.randrange(12))) for _ in range(3000)]
+    raw, at = utf8(pa.array(texts))
+    numbers, counts = split.pieces(raw, at)
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, ends - counts, ends):
+        assert split.ids.gather(numbers[a:b])[0].tolist() == expected(library, t), repr(t)
+        assert [x for n in numbers[a:b].tolist() for x in split.noted[n][0].split()] == list(map(str, expected(library, t)))
+    split.reset()
+    assert [split.ids.gather(split.pieces(*utf8(pa.array([t])))[0])[0].tolist() for t in texts[:9]] == [expected(library, t) for t in texts[:9]]
+
+
 def test_long_pieces_encode_as_in_the_library(library):
     auto = coder(tokenizer_spec())[0]
     rnd = random.Random(8)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import Seen, map_arrow, prepare, text_slices
-from .presplit import Presplit, byte_letters, plain_rows
+from .presplit import Presplit, byte_letters
 
 END = "</w>"
 TOKENIZER = "word_bpe_49k.json"
@@ -280,31 +280,25 @@ def tokenizer_spec(path: str | None = None) -> str:
 
 def _coded(batch: pa.RecordBatch, auto: Automaton, split: Presplit, give):
     for part, raw, at in text_slices(batch):
-        ok = plain_rows(raw, at) if split.known else np.zeros(part.num_rows, bool)
-        rows: list = [None] * part.num_rows
-        chosen = np.flatnonzero(ok)
-        if len(chosen):
-            if len(chosen) < part.num_rows:
-                held = np.concatenate([raw[at[i] : at[i + 1]] for i in chosen])
-                edges = np.concatenate([[0], np.cumsum(np.diff(at)[chosen])])
-            else:
-                held, edges = raw, at
-            numbers, counts = split.plain(held, edges)
+        rows: list = []
+        if split.known:
+            numbers, counts = split.pieces(raw, at)
             lengths = split.ids.lengths[numbers]
             ends = np.cumsum(counts)
             total = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])]
             noted = list(map(split.noted.__getitem__, numbers.tolist()))
-            for r, i, e, n in zip(chosen.tolist(), (ends - counts).tolist(), ends.tolist(), np.diff(total).tolist()):
+            for i, e, n in zip((ends - counts).tolist(), ends.tolist(), np.diff(total).tolist()):
                 own = noted[i:e]
-                rows[r] = (n, " ".join([x[0] for x in own]), " ".join([x[1] for x in own]))
-        for r in np.flatnonzero(~ok).tolist():
-            pieces = split.other(raw[at[r] : at[r + 1]].tobytes().decode("utf-8", "replace"))
-            words = sorted({p for p in pieces if isinstance(p, str)})
-            ids, counts = auto.encode(words)
-            made = dict(zip(words, zip(counts.tolist(), auto.labels_of(ids, counts))))
-            special = {i: (1, (str(i), name)) for name, i in split.special.items()}
-            own = [special[p] if isinstance(p, int) else made[p] for p in pieces]
-            rows[r] = (sum(n for n, _ in own), " ".join(x[0] for _, x in own), " ".join(x[1] for _, x in own))
+                rows.append((n, " ".join([x[0] for x in own]), " ".join([x[1] for x in own])))
+        else:
+            for r in range(part.num_rows):
+                pieces = split.other(raw[at[r] : at[r + 1]].tobytes().decode("utf-8", "replace"))
+                words = sorted({p for p in pieces if isinstance(p, str)})
+                ids, counts = auto.encode(words)
+                made = dict(zip(words, zip(counts.tolist(), auto.labels_of(ids, counts))))
+                special = {i: (1, (str(i), name)) for name, i in split.special.items()}
+                own = [special[p] if isinstance(p, int) else made[p] for p in pieces]
+                rows.append((sum(n for n, _ in own), " ".join(x[0] for _, x in own), " ".join(x[1] for _, x in own)))
         yield give(part, rows)
 
 

@@ -4,8 +4,8 @@ The pieces are those of the public word tokenizer's own normaliser and pre-token
 case, then the pattern below. Texts are split on arrays of code points, for which a table says what each is. The table
 is filled by the tokenizers library, one code point at a time as they occur. In most texts each code point is normalised
 by itself, by the same table; a text with one that is not (a combining mark, one that becomes several) goes through the
-library's normaliser first. Only texts with a special token's string in them go through the library's own
-pre-tokenizer. Either way the result is that of the library. Pieces are told apart by 64-bit hashes.
+library's normaliser first. Special tokens are cut out of texts first and are pieces of their own. The result is that
+of the library. A tokenizer file with other rules goes through the library's own steps. Pieces are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -83,15 +83,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in kept else chr(next(moved)) for b in range(256)]
 
 
-def plain_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which texts the arrays can split: those without what a special token begins with."""
-    ok = np.ones(len(offsets) - 1, bool)
-    if len(raw) > 1:
-        at = np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C))
-        ok[np.searchsorted(offsets, at, "right") - 1] = False
-    return ok
-
-
 def _code_points(raw: np.ndarray) -> np.ndarray:
     return np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
 
@@ -166,9 +157,14 @@ class Presplit:
         own = read.get("pre_tokenizer") or {}
         first = (own.get("pretokenizers") or [{}])[0]
         self.known = first.get("pattern", {}).get("Regex") == PATTERN and read["model"].get("end_of_word_suffix") == "</w>"
-        self.special = {t["content"]: t["id"] for t in read.get("added_tokens", [])}
-        self.known &= all(t.startswith("<|") for t in self.special)
+        added = read.get("added_tokens", [])
+        self.special = {t["content"]: t["id"] for t in added}
+        # cut out as they stand: none that swallows spaces, wants word edges or is looked for in normalised text
+        self.known &= not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in added)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        names = sorted(self.special, key=len, reverse=True)
+        self.marks = {t.encode(): h for t, h in zip(names, seeded(len(names), 97))}
+        self.find_marks = re.compile(b"|".join(map(re.escape, self.marks))) if names else None
         letters = byte_letters()
         self.to_byte = {c: b for b, c in enumerate(letters)}
         self.reset()
@@ -176,6 +172,12 @@ class Presplit:
     def reset(self) -> None:
         self.seen, self.ids = Seen(), Flat(np.int32)
         self.noted: list = []
+        if self.marks:
+            names = [t.decode() for t in self.marks]
+            self.seen.add(np.array(list(self.marks.values()), np.uint64))
+            self.ids.extend(np.array([self.special[t] for t in names], np.int32), np.ones(len(names), np.int64))
+            if self.notes:
+                self.noted.extend((str(self.special[t]), t) for t in names)
 
     def number(self, hashes: np.ndarray, piece: Callable[[int], str]) -> np.ndarray:
         """Numbers of the pieces; piece(i) is the text of the i-th."""
@@ -194,11 +196,40 @@ class Presplit:
             found[new] = self.seen.find(hashes[new])
         return found
 
-    def plain(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the pieces of plain texts, and how many each text has."""
-        codes, starts, ends, counts = split_plain(raw, offsets, self.points)
-        hashes = span_hashes(codes, starts, ends, _CODES)
-        return self.number(hashes, lambda i: codes[starts[i] : ends[i]].tobytes().decode("utf-32-le")), counts
+    def _cut(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, np.uint64]]:
+        """Start, end and hash of the special tokens in the texts; none reaches over a text's end."""
+        if self.find_marks is None:
+            return []
+        data = raw.tobytes()
+        if not self.find_marks.search(data):
+            return []
+        edges, out = offsets.tolist(), []
+        for a, b in zip(edges, edges[1:]):
+            out += [(m.start(), m.end(), self.marks[m.group()]) for m in self.find_marks.finditer(data, a, b)]
+        return out
+
+    def pieces(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of texts, and how many each text has."""
+        found = self._cut(raw, offsets)
+        edges = offsets
+        if found:
+            # texts fall into parts at the tokens, each a part of its own that is blank
+            begins, ends = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+            raw = raw.copy()
+            for a, b, _ in found:
+                raw[a:b] = 32
+            edges = np.unique(np.concatenate([offsets, begins, ends]))
+        codes, starts, ends_of, counts = split_plain(raw, edges, self.points)
+        hashes = span_hashes(codes, starts, ends_of, _CODES)
+        if not found:
+            return self.number(hashes, lambda i: codes[starts[i] : ends_of[i]].tobytes().decode("utf-32-le")), counts
+        part = np.searchsorted(edges, begins)
+        places = np.concatenate([[0], np.cumsum(counts)])[part]
+        hashes = np.insert(hashes, places, np.array([f[2] for f in found], np.uint64))
+        own = np.insert(np.arange(len(starts)), places, -1)  # tokens are known, so their text is never asked for
+        counts[part] += 1
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return self.number(hashes, lambda i: codes[starts[own[i]] : ends_of[own[i]]].tobytes().decode("utf-32-le")), np.diff(total[np.searchsorted(edges, offsets)])
 
     def other(self, text: str) -> list[str | int]:
         """Pieces of any text by the library's own steps; a special token is its id."""

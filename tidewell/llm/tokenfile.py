@@ -33,7 +33,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from .bpe import END, tokenizer_spec
 from .common import changes, map_arrow, new_path, prepare, text_slices
-from .presplit import Presplit, plain_rows
+from .presplit import Presplit
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
@@ -243,24 +243,14 @@ def _library(spec: str) -> Presplit:
 
 def _encoded(raw: np.ndarray, at: np.ndarray, split: Presplit, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the texts end to end, each with its end id, and their numbers."""
-    n = len(at) - 1
-    ok = plain_rows(raw, at) if split.known else np.zeros(n, bool)
-    chosen = np.flatnonzero(ok)
-    if len(chosen) < n:
-        held = np.concatenate([raw[at[i] : at[i + 1]] for i in chosen]) if len(chosen) else raw[:0]
-        edges = np.concatenate([[0], np.cumsum(np.diff(at)[chosen])]).astype(np.int64)
+    if split.known:
+        numbers, pieces = split.pieces(raw, at)
+        ids, lengths = split.ids.gather(numbers)
+        counts = np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(pieces)])])
     else:
-        held, edges = raw, at
-    numbers, pieces = split.plain(held, edges)
-    ids, lengths = split.ids.gather(numbers)
-    counts = np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(pieces)])])
-    if len(chosen) < n:
-        parts, at_ids = [], np.concatenate([[0], np.cumsum(counts)])
-        place = dict(zip(chosen.tolist(), range(len(chosen))))
-        for r in range(n):
-            k = place.get(r)
-            parts.append(ids[at_ids[k] : at_ids[k + 1]] if k is not None else np.array(split.library.encode(raw[at[r] : at[r + 1]].tobytes().decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32))
-        ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+        own = [split.library.encode(raw[a:b].tobytes().decode("utf-8", "replace"), add_special_tokens=False).ids for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        counts = np.array([len(x) for x in own], np.int64)
+        ids = np.array([i for x in own for i in x], np.int32)
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
