@@ -186,30 +186,29 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, labelled: int = LABELL
     return Toxicity(telling, x, got.column("toxic").to_numpy().astype(float))
 
 
-def toxicity(rows: DataFrame, model: Toxicity | None) -> DataFrame:
-    """rows, which hold ``text``, with the column _p_toxic; null without a model."""
-    if model is None:
-        return rows.withColumn("_p_toxic", F.lit(None).cast("double"))
-    return _evidence(rows, model, "_p_toxic")
-
+def _evidence(rows: DataFrame, model: Regression | None, toxic: Toxicity | None = None) -> DataFrame:
+    """rows, which hold ``text``, with _p_toxic and _p of the models, in one pass over the texts; null without a model.
 
-def _evidence(rows: DataFrame, model: Regression | Toxicity, name: str = "_p") -> DataFrame:
-    """rows, which hold ``text``, with the model's probability; by the regression, a text without words has the rate of the labels."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
-    names = rows.columns
+    By the regression, a text without words has the rate of the labels.
+    """
+    if model is None and toxic is None:
+        return rows.withColumn("_p_toxic", F.lit(None).cast("double")).withColumn("_p", F.lit(None).cast("double"))
+    sent = rows.sparkSession.sparkContext.broadcast((model, toxic))
+    names = [*rows.columns, "_p_toxic", "_p"]
 
     def run(batch):
+        model, toxic = sent.value
         for part, raw, at in text_slices(batch):
-            if isinstance(sent.value, Toxicity):
-                p = sent.value(raw, at)
-            else:
+            nothing = pa.nulls(part.num_rows, pa.float64())
+            p = nothing
+            if model is not None:
                 x, n = features(raw, at)
-                p = np.where(n > 0, sent.value(x), sent.value.rate)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*names, name])
+                p = pa.array(np.where(n > 0, model(x), model.rate))
+            yield pa.RecordBatch.from_arrays([*part.columns, nothing if toxic is None else pa.array(toxic(raw, at)), p], names)
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return map_arrow(rows, run, StructType([*rows.schema.fields]).add(name, DoubleType()))
+    return map_arrow(rows, run, StructType([*rows.schema.fields]).add("_p_toxic", DoubleType()).add("_p", DoubleType()))
 
 
 def _exact(x: Column) -> Column:
@@ -241,7 +240,7 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
     model = fit(documents, labels)
     if model is None:
         nothing = F.lit(None).cast("double")
-        return toxicity(given, judge).withColumn("_p", nothing).withColumn("_host_rate", nothing).withColumn("_path_rate", nothing).withColumn("_score", F.lit(1.0)).withColumn("_keep", F.lit(True)).withColumn("_toxic", toxic)
+        return _evidence(given, None, judge).withColumn("_host_rate", nothing).withColumn("_path_rate", nothing).withColumn("_score", F.lit(1.0)).withColumn("_keep", F.lit(True)).withColumn("_toxic", toxic)
     sums = _evidence(given.select("_host", "_path", "text"), model).groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum(_exact(F.col("_p"))).alias("s"))
     exact = durable(sums, "sites")
     paths = exact.withColumn("s", F.col("s").cast("double"))
@@ -251,7 +250,7 @@ def score(documents: DataFrame, labels: DataFrame, host: Column | None = None, p
     up, low = _weight(hosts, rate), _weight(paths, rate)
     sites = paths.withColumnsRenamed({"n": "_pn", "s": "_ps"}).join(hosts.withColumnsRenamed({"n": "_hn", "s": "_hs"}), "_host")
     sites = sites.select(F.xxhash64("_host", "_path").alias("_site"), F.col("_host").alias("_h"), F.col("_path").alias("_t"), "_pn", "_ps", "_hn", "_hs")
-    judged = sized_join(_evidence(toxicity(given, judge), model).withColumn("_site", F.xxhash64("_host", "_path")), sites, "_site").where("_host = _h and _path = _t")
+    judged = sized_join(_evidence(given, model, judge).withColumn("_site", F.xxhash64("_host", "_path")), sites, "_site").where("_host = _h and _path = _t")
     p = F.col("_p")
     at_host = (F.lit(up * rate) + F.col("_hs") - p) / (F.lit(up) + F.col("_hn") - 1)
     at_path = (F.lit(low) * F.col("_host_rate") + F.col("_ps") - p) / (F.lit(low) + F.col("_pn") - 1)
