@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Seen, map_arrow, prepare, span_hashes, text_slices
+from .common import Seen, map_arrow, piece_hashes, prepare, text_slices
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -121,7 +121,7 @@ class Counter:
         order = np.lexsort((starts, row))
         row, starts = row[order], starts[order]
         stops = np.minimum(np.append(spaces, len(raw))[np.searchsorted(spaces, starts, "left")], offsets[row + 1])
-        hashes = span_hashes(raw, starts, stops)
+        hashes = piece_hashes(raw, starts, stops)
         if self.seen.n > REMEMBERED:
             self.reset()
         found = self.seen.find(hashes)
