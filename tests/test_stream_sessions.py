@@ -1,0 +1,38 @@
+"""Sessions of streams at the exact gap, by both ways."""
+
+import datetime
+
+import pytest
+
+from tests.test_plans import spark  # noqa: F401
+from tests.test_streaming import SCHEMA, START, brute, stream  # noqa: F401
+from tidewell.streaming import closed_sessions, run_appended, timed_sessions
+
+GAP = 1_800_000_000
+
+
+@pytest.mark.parametrize("way", [closed_sessions, timed_sessions])
+def test_rows_a_gap_apart_are_two_sessions(spark, tmp_path, way):  # noqa: F811
+    rows = [(u, first + k * (GAP + more)) for u, first, more in ((1, 0, 0), (2, 5, -1), (3, 7, 1)) for k in range(3)] + [(9, 100 * GAP)]
+    given = [(i, START + datetime.timedelta(microseconds=t), u, "a", 1.5) for i, (u, t) in enumerate(rows)]
+    spark.createDataFrame(given, SCHEMA).write.parquet(f"{tmp_path}/0")
+    out, counts = run_appended(way(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/0")), spark)
+    got = {(r.user_id, (r.begun - START) // datetime.timedelta(microseconds=1), r.n) for r in out.collect()}
+    assert got == {(1, k * GAP, 1) for k in range(3)} | {(2, 5, 3)} | {(3, 7 + k * (GAP + 1), 1) for k in range(3)}
+    assert counts["dropped"] == 0 and counts["state"] <= 2
+
+
+@pytest.mark.parametrize("way", [closed_sessions, timed_sessions])
+def test_both_ways_over_late_batches(spark, stream, way):  # noqa: F811
+    batches = [[(70, 1, "a"), (5, 1, "a")], [(40, 1, "a"), (20, 2, "a")], [(300, 2, "a"), (None, 2, "a")], [(330, 2, "a"), (329, 2, "a")], [(900, 3, "a")]]
+    out, counts = run_appended(way(stream(batches)), spark)
+    got = {(r.user_id, int((r.begun - START).total_seconds() // 60), r.n) for r in out.collect()}
+    assert got == {(u, b, n) for u, b, n, _ in brute([r for b in batches[:4] for r in b], 30)} and counts["dropped"] == 0
+
+
+def test_sessions_need_no_python_a_user(spark, tmp_path):  # noqa: F811
+    """Before, each user cost several calls between Python and the state."""
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/0")
+    given = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/0")
+    assert "Python" not in closed_sessions(given)._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" in timed_sessions(given)._jdf.queryExecution().analyzed().toString()

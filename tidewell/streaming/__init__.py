@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sessions import STORE, closed_sessions  # noqa: F401
+from .sessions import STORE, closed_sessions, timed_sessions  # noqa: F401
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

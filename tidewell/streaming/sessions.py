@@ -1,4 +1,4 @@
-"""Sessions of a stream as keyed state with timers: state that ends when the watermark passes a session's gap."""
+"""Sessions of a stream, with state that ends when the watermark passes a session's gap: Spark's session windows, and keyed state with timers."""
 
 from __future__ import annotations
 
@@ -75,7 +75,20 @@ class Sessions(StatefulProcessor):
 def closed_sessions(events: DataFrame, delay: str = "1 hour", gap_seconds: int = 1800) -> DataFrame:
     """user_id, begun and n of each session that the watermark has passed, of a stream of events with user_id and ts.
 
-    Rows later than the watermark are dropped, as are rows without a user or time. Needs ``STORE``.
+    Rows of one session lie less than the gap apart. A row whose session alone would be over by the watermark is dropped, as
+    are rows without a user or time. Spark holds a user's open sessions as state, and works on all users of a partition together.
+    """
+    # Spark puts together what is no more than its gap apart
+    gap = f"{gap_seconds - 1} seconds 999 milliseconds 999 microseconds"
+    given = events.where("user_id is not null and ts is not null").withWatermark("ts", delay)
+    out = given.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+    return out.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("begun"), "n")
+
+
+def timed_sessions(events: DataFrame, delay: str = "1 hour", gap_seconds: int = 1800) -> DataFrame:
+    """The same by keyed state with timers, for what sessions must do beyond counting; each user costs several calls to the state.
+
+    Rows later than the watermark are dropped. Needs ``STORE``.
     """
     given = events.where("user_id is not null and ts is not null").withWatermark("ts", delay).select("user_id", "ts", F.unix_micros("ts").alias("at"))
     out = given.groupBy("user_id").transformWithStateInPandas(Sessions(gap_seconds * 1_000_000), "user_id bigint, begun bigint, n bigint", "Append", "EventTime")
