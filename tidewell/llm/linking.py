@@ -53,13 +53,14 @@ def starred(members: DataFrame) -> DataFrame:
     return sized_join(members, least, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"))
 
 
-def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None) -> DataFrame:
+def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, merge: bool = False) -> DataFrame:
     """(node, label) of the nodes that links between bucket mates connect with others; the label is the least node of the group.
 
     stars has rows (bucket, a, b) as ``starred`` gives them. verify takes pairs (a, b) and returns those that are links.
     mates takes rows (bucket, node, group, side) of buckets of up to ``large`` members and returns links, among them some
     between all groups of a bucket that any links join; members of one side, if it is not -1, need not be compared. prune takes rows
-    (bucket, node) and may leave out those whose node has no link in the bucket.
+    (bucket, node) and may leave out those whose node has no link in the bucket. With ``merge`` the open buckets whose least
+    nodes are of one group are one bucket, which holds a node once, in however many of them it is; all that meet still do.
     """
     pairs = durable(stars.select("a", "b").distinct(), "pairs")
     links = durable(verify(pairs).select("a", "b"), "links")
@@ -67,12 +68,19 @@ def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune:
     sides = pairs
     for c in ("a", "b"):
         sides = sized_join(sides, labels.toDF(c, f"label_{c}"), c, "left").withColumn(f"label_{c}", F.coalesce(f"label_{c}", c))
+    if merge:
+        sides = durable(sides.select("a", "b", "label_a", "label_b"), "sides")
     # a bucket whose members are all of its least one's group is done
     apart = durable(sides.where("label_a <> label_b").select(F.struct("a", "b").alias("pair")), "apart")
     if not apart.limit(1).count():
         return labels
-    buckets = durable(sized_join(stars.select("bucket", F.struct("a", "b").alias("pair")), apart, "pair", "left_semi").select("bucket").distinct(), "open-buckets")
-    rows = _still_open(sized_join(stars, buckets, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
+    if merge:
+        mains = durable(sides.where("label_a <> label_b").select("label_a").distinct(), "open-groups")
+        own = durable(sides.select("label_a", F.col("a").alias("node")).union(sides.select("label_a", "b")).distinct(), "of-groups")
+        rows = _still_open(sized_join(own, mains, "label_a", "left_semi").select(F.xxhash64("label_a").alias("bucket"), "node").distinct(), labels)
+    else:
+        buckets = durable(sized_join(stars.select("bucket", F.struct("a", "b").alias("pair")), apart, "pair", "left_semi").select("bucket").distinct(), "open-buckets")
+        rows = _still_open(sized_join(stars, buckets, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
     if prune is not None:
         rows = _still_open(prune(rows).drop("group"), labels)
     sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")

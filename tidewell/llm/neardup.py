@@ -235,10 +235,11 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
     def prune(rows: DataFrame) -> DataFrame:
         # two texts share no more than what either shares with any; the rest of both is in the union
         sets = multisets(rows.select("node"))
+        # a key is once in a node, so one that is there once is its node's alone: no join of all keys
         keys = sets.select("node", F.explode("keys").alias("key"))
-        common = durable(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
-        shared = sized_join(keys, common, "key", "left_semi").groupBy("node").agg(F.count("*").alias("c"))
-        known = durable(sets.select("node", F.size("keys").alias("n")).join(shared, "node").where(F.col("c") >= F.lit(least - 1e-9) * F.col("n")), "shares")
+        alone = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+        shared = sets.select("node", F.size("keys").alias("n")).join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c"))
+        known = durable(shared.where((F.col("c") > 0) & (F.col("c") >= F.lit(least - 1e-9) * F.col("n"))), "shares")
         sized = durable(rows.join(known, "node"), "members")
         smallest = sized.groupBy("bucket").agg(F.min("n").alias("s"))
         union = F.col("n") + F.greatest("c", "s") - F.col("c")
@@ -249,7 +250,7 @@ def near_groups(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARIT
         held = sized_join(rows, sets, "node", cost=1 + F.size("keys") / 8).select("bucket", "node", "group", "side", "keys")
         return held.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike(least), "a binary, b binary")
 
-    return link(durable(starred(durable(members, "bands")), "stars"), verify, mates, large, prune)
+    return link(durable(starred(durable(members, "bands")), "stars"), verify, mates, large, prune, merge=True)
 
 
 def group_documents(documents: DataFrame, k: int = SHINGLE, least: float = SIMILARITY, large: int = LARGE) -> DataFrame:
