@@ -14,8 +14,10 @@ from bisect import bisect_left
 import numpy as np
 
 _ONE, _U = np.uint64(1), np.uint64
-#: Words of 64 rows up to which pairs go together, and pairs that do so at a time; fewer than ``FEW`` go one by one.
+#: Words of 64 rows up to which pairs go together, and pairs that do so at a time; fewer than ``FEW`` for each four words go one by one.
 WORDS, TOGETHER, FEW = 16, 2048, 24
+#: Pairs of these numbers of words or fewer, down to the number before, go together.
+_CLASSES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 #: Code points from which on words are compared first.
 LONG = 40
 
@@ -100,7 +102,7 @@ def _one(x: list[int], y: list[int], most: int) -> bool:
 
 
 def _together(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray, n_words: int) -> np.ndarray:
-    """For pairs whose shorter texts fill ``n_words`` words each."""
+    """For pairs whose shorter texts fill up to ``n_words`` words each."""
     n = len(pairs)
     xs, ys = np.array([len(x) for x, _ in pairs]), np.array([len(y) for _, y in pairs])
     row = np.repeat(np.arange(n), xs)
@@ -114,7 +116,8 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray, n_wo
     column = np.arange(len(key)) - np.repeat(np.cumsum(ys) - ys, ys)
     letters[column, np.repeat(np.arange(n), ys)] = np.where(own[at] == key, at, len(own))
     more, less = np.full((n_words, n), ~_U(0)), np.zeros((n_words, n), np.uint64)
-    last = ((xs - 1) & 63).astype(np.uint64)
+    last, at_word = ((xs - 1) & 63).astype(np.uint64), (xs - 1) >> 6
+    lowest = int(at_word.min())
     distance, alive, out = xs.astype(np.int64), np.arange(n), np.zeros(n, bool)
     top = _U(63)
     for step in range(len(letters)):
@@ -123,7 +126,7 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray, n_wo
             on = (distance - np.maximum(left, 0) <= most) & (left > 0)
             if on.sum() < 0.8 * len(on):
                 out[alive[(left <= 0) & (distance <= most)]] = True
-                alive, ys, most, last, distance = alive[on], ys[on], most[on], last[on], distance[on]
+                alive, ys, most, last, at_word, distance = alive[on], ys[on], most[on], last[on], at_word[on], distance[on]
                 letters, more, less = letters[:, on], more[:, on], less[:, on]
                 if not len(alive):
                     break
@@ -136,9 +139,9 @@ def _together(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray, n_wo
             diagonal = (((equal & p) + p) ^ p) | equal
             up = m | ~(diagonal | p)
             down = p & diagonal
-            if w == n_words - 1:
+            if w >= lowest:
                 moved = ((up >> last) & _ONE).view(np.int64) - ((down >> last) & _ONE).view(np.int64)
-                distance += moved * (step < ys)
+                distance += moved * ((step < ys) & (at_word == w))
             raised, lowered = up >> top, down >> top
             up = (up << _ONE) | plus
             down = (down << _ONE) | minus
@@ -167,13 +170,15 @@ def within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
             out[i] = len(y) <= most[i]
     todo = np.array(todo, np.int64)
     n_words = np.array([(len(x) + 63) >> 6 for x, _ in pairs], np.int64)
+    # of the longer ones each number of words is its own class
+    n_words = np.where(n_words <= WORDS, _CLASSES[np.minimum(np.searchsorted(_CLASSES, n_words), len(_CLASSES) - 1)], n_words)
     order = np.lexsort(([len(y) for _, y in pairs], n_words))
     edges = np.append(np.flatnonzero(np.diff(n_words[order], prepend=-1)), len(order)).tolist()
     for lo, hi in zip(edges, edges[1:]):
         words = int(n_words[order[lo]])
         for at in range(lo, hi, TOGETHER):
             chosen = order[at : min(hi, at + TOGETHER)]
-            if words <= WORDS and len(chosen) >= FEW:
+            if words <= WORDS and 4 * len(chosen) >= FEW * (words + 3):
                 out[todo[chosen]] = _together([pairs[i] for i in chosen.tolist()], np.asarray(most)[todo[chosen]], words)
             else:
                 for i in chosen.tolist():

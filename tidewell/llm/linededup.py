@@ -17,7 +17,7 @@ single characters changed all over can still be missed (see README).
 
 How it runs: one pass over the texts writes a row for each line. A second one over those rows deals bucket keys out
 in packed arrays, so that buckets with one line, nearly all of them, are dropped by sorting arrays. A bucket that is
-hot in a task is dealt by line instead. Bucket mates are compared as in linking, without all pairs of a group and
+hot in a task is dealt by line instead. Other buckets are cut where lengths leave a gap that no alike pair has. Bucket mates are compared as in linking, without all pairs of a group and
 whatever the size of a bucket. Before edit distances are worked out, pairs are ruled out by lengths, by counts of their runs of
 ``TRIPLE`` code points and by how many of these stand at about the same places; no alike pair is. Lines are told apart by the MD5 of their
 normal form.
@@ -65,6 +65,8 @@ TRIPLE, COUNTERS = 3, 2048
 REMEMBERED = 1 << 20
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
 PART, LOW = 1 << 19, (1 << 32) - 1
+#: A line's length goes with its bucket keys as the whole steps in its logarithm, up to a byte.
+STEP = 0.0625
 #: Code points whose runs are counted at a time.
 BLOCK = 1 << 20
 #: A nibble as four lanes of 16 bits, so that four counters are summed in one word.
@@ -221,7 +223,7 @@ def _pack(parts: int, most: int, keys_of=line_keys):
 
     Rows come in the order of their places. A bucket is hot if ``most`` lines that are packed together, or more, are in it.
     A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base,
-    and go with three bytes of the line's digest.
+    and go with a byte for the line's length and two of its digest.
     """
 
     def flush(held):
@@ -230,12 +232,14 @@ def _pack(parts: int, most: int, keys_of=line_keys):
         table = table.take(pa.array(at)).combine_chunks()
         place = table.column("place").to_numpy()
         base = int(place[0])
-        key, line = keys_of(table.column("normal").combine_chunks())
+        normal = table.column("normal").combine_chunks()
+        key, line = keys_of(normal)
         # parts are ranges of keys; within its part a bucket is 32 bits, of which only these are sent
         key = ((key >> 32) + (1 << 31)) * parts >> 32 << 32 | key & LOW
         order = np.argsort(key)
-        # with a place, three bytes of the line's digest, by which equal lines of other tasks are told
-        mark = (place - base) | (table.column("node").to_numpy() & 0xFFFFFF) << 24
+        # with a place, the line's length, and two bytes of its digest, by which equal lines of other tasks are told
+        length = np.minimum(np.log(np.maximum(pa.compute.utf8_length(normal).to_numpy(), 1)) / STEP, 255).astype(np.int64)
+        mark = (place - base) | length << 24 | (table.column("node").to_numpy() & 0xFFFF) << 32
         key, member = key[order], mark[line[order]]
         first = np.flatnonzero(changes(key))
         size = np.diff(np.append(first, len(key)))
@@ -281,8 +285,11 @@ def _pack(parts: int, most: int, keys_of=line_keys):
     return run
 
 
-def _unpack(key, table):
-    """(bucket, first place, place) for the lines of buckets of two or more; (bucket, null, place) for those of hot buckets."""
+def _unpack(key, table, least: float = SIMILARITY):
+    """(bucket, first place, place) for the lines of buckets of two or more; (bucket, null, place) for those of hot buckets.
+
+    A bucket is cut in two where its lines' lengths leave a gap that no alike pair has.
+    """
     hot = np.frombuffer(b"".join(table.column("hot").to_pylist()), np.int64)
     places, part = b"".join(table.column("places").to_pylist()), key[0].as_py()
     sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 6
@@ -295,19 +302,32 @@ def _unpack(key, table):
         keys = np.frombuffer(keys, np.int64)
         return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(place)], ["bucket", "a", "b"])
     keys = np.frombuffer(keys, "<u4").astype(np.int64) | part << 32
-    # of equal lines the first stands for all; unlike lines of a bucket are taken for equal with probability 2**-24
+    # of equal lines the first stands for all; unlike lines of a bucket and a length are taken for equal with probability 2**-16
     order = np.lexsort((place, mark >> 24, keys))
-    keys, place = keys[order], place[order]
-    kept = changes(keys, mark[order] >> 24)
-    keys, place = keys[kept], place[kept]
+    keys, place, mark = keys[order], place[order], mark[order] >> 24
+    kept = changes(keys, mark)
+    keys, place, mark = keys[kept], place[kept], mark[kept]
     alone = changes(keys)
     alone &= np.append(alone[1:], True)[: len(alone)]
     lit = np.isin(keys, hot)
-    keys, place, lit = (c[~alone | lit] for c in (keys, place, lit))
-    new = changes(keys)
-    least = place[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))] if len(keys) else place
-    kept = ~new | lit
-    return pa.Table.from_arrays([pa.array(keys[kept]), pa.array(least[kept], mask=lit[kept]), pa.array(place[kept])], ["bucket", "a", "b"])
+    keys, place, mark, lit = (c[~alone | lit] for c in (keys, place, mark, lit))
+    length = np.where(lit, 0, mark & 0xFF)
+    order = np.lexsort((place, length, keys))
+    keys, place, length, lit = (c[order] for c in (keys, place, length, lit))
+    whole = changes(keys)
+    new = whole | (np.diff(length, prepend=length[:1]) > widest(least))
+    # the cuts of a bucket are numbered above its 32 bits and its part
+    nth = np.cumsum(new) - 1
+    nth -= np.maximum.accumulate(np.where(whole, nth, 0))
+    first = np.minimum.reduceat(place, np.flatnonzero(new)) if len(keys) else place
+    first = np.repeat(first, np.diff(np.append(np.flatnonzero(new), len(keys)))) if len(keys) else place
+    kept = (place != first) | lit
+    return pa.Table.from_arrays([pa.array((keys | nth << 55)[kept]), pa.array(first[kept], mask=lit[kept]), pa.array(place[kept])], ["bucket", "a", "b"])
+
+
+def widest(least: float) -> int:
+    """Steps between the lengths of two alike lines at most; both are rounded down."""
+    return int(-np.log(max(least, 1e-9)) / STEP + 1e-6) + 1
 
 
 # Comparing -------------------------------------------------------------------------------------
@@ -468,9 +488,9 @@ def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.nda
     kept = plausible(text, a, b, least)
     a, b, pair = a[kept], b[kept], pair[kept]
     groups, links = Groups(), []
-    step = 64
+    step = 512
     while len(a):
-        # in few steps at first, as what they join need not be compared any more
+        # in small steps at first, as what they join need not be compared any more, but enough at a time to go together
         x, y = a[:step].tolist(), b[:step].tolist()
         alike = similar([text[i] for i in x], [text[i] for i in y], least)
         apart.add(pair[:step][~alike])
@@ -483,7 +503,7 @@ def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.nda
         root = np.array([groups.of(g) for g in group.tolist()], np.int64)
         open_ = root[a] != root[b]
         a, b, pair = a[open_], b[open_], pair[open_]
-        step = min(2 * step, 4096)
+        step = min(2 * step, 1 << 14)
     return links
 
 
@@ -541,17 +561,19 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     # a part that gets one key from every flush stays as small as others
     hot = max(2, PART // (2 * (n // PACKED + parts)))
     packed = seen.where("normal is not null").select("place", "node", "normal").mapInArrow(_pack(parts, hot), "part int, base bigint, keys binary, places binary, hot binary")
-    stars = durable(packed.groupBy("part").applyInArrow(_unpack, "bucket bigint, a bigint, b bigint"), "stars")
+    stars = durable(packed.groupBy("part").applyInArrow(lambda key, table: _unpack(key, table, least), "bucket bigint, a bigint, b bigint"), "stars")
     common = durable(stars.where("a is null").select("bucket", F.col("b").alias("node")).distinct(), "hot-members")
     if common.limit(1).count():
         stars = durable(stars.where("a is not null").union(starred(common)), "stars")
-    # from here on lines go by their digests
-    known = durable(stars.select("a").union(stars.select("b")).distinct().toDF("place"), "wanted-places")
+    # pairs, which are far fewer than the buckets that hold them, go by the lines' digests from here on
+    pairs = durable(stars.select("a", "b").distinct(), "place-pairs")
+    known = durable(pairs.select("a").union(pairs.select("b")).distinct().toDF("place"), "wanted-places")
     known = durable(sized_join(seen.where("normal is not null").select("place", "node"), known, "place", "left_semi", skewed=False), "wanted-nodes")
+    named = pairs.select(F.struct("a", "b").alias("at"), "a", "b")
     for c in ("a", "b"):
-        stars = sized_join(stars, known.toDF(c, f"{c}_node"), c)
-    stars = durable(stars.select("bucket", F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a <> b").distinct(), "stars")
-    wanted = durable(stars.select("a").union(stars.select("b")).distinct().toDF("node"), "wanted-lines")
+        named = sized_join(named, known.toDF(c, f"{c}_node"), c)
+    named = durable(named.select("at", F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a <> b"), "pairs")
+    wanted = durable(known.select("node").distinct(), "wanted-lines")
     # nodes are 64 bits of a line's digest; should two candidates share one, the least stands for it and the other stays as it is
     texts = sized_join(seen.where("normal is not null").select("node", "normal", "line"), wanted, "node", "left_semi")
     texts = durable(texts.groupBy("node").agg(F.min(F.struct("normal", "line")).alias("m")).select("node", "m.normal", "m.line"), "line-texts")
@@ -571,7 +593,13 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
         known = sized_join(with_homes(rows), texts.select("node", "normal"), "node", cost=weight).select("home", "bucket", "node", "group", "side", "normal")
         return known.repartition(tasks, "home").sortWithinPartitions("home").mapInArrow(_alike(least), "a bigint, b bigint")
 
-    labels = link(stars, verify, mates, large)
+    def members(apart: DataFrame) -> DataFrame:
+        at = durable(sized_join(named.select("at", F.struct("a", "b").alias("pair")), apart, "pair", "left_semi").select("at"), "apart-places")
+        buckets = durable(sized_join(stars.select("bucket", F.struct("a", "b").alias("at")), at, "at", "left_semi").select("bucket").distinct(), "open-buckets")
+        rows = sized_join(stars.select("bucket", F.col("b").alias("place")), buckets, "bucket", "left_semi")
+        return sized_join(rows, known, "place").select("bucket", "node").distinct()
+
+    labels = link(named, verify, mates, large, members=members)
     return seen, labels.join(texts, "node").select("line", "label")
 
 

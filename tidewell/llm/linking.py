@@ -53,7 +53,7 @@ def starred(members: DataFrame) -> DataFrame:
     return sized_join(members, least, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"))
 
 
-def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, merge: bool = False) -> DataFrame:
+def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune: Callable | None = None, merge: bool = False, members: Callable | None = None) -> DataFrame:
     """(node, label) of the nodes that links between bucket mates connect with others; the label is the least node of the group.
 
     stars has rows (bucket, a, b) as ``starred`` gives them. verify takes pairs (a, b) and returns those that are links.
@@ -61,6 +61,8 @@ def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune:
     between all groups of a bucket that any links join; members of one side, if it is not -1, need not be compared. prune takes rows
     (bucket, node) and may leave out those whose node has no link in the bucket. With ``merge`` the open buckets whose least
     nodes are of one group are one bucket, which holds a node once, in however many of them it is; all that meet still do.
+    With ``members`` stars need have no bucket: it takes pairs (pair: struct of a, b) and returns the rows (bucket, node) of all buckets
+    that hold one of them, a bucket's least node aside.
     """
     pairs = durable(stars.select("a", "b").distinct(), "pairs")
     links = durable(verify(pairs).select("a", "b"), "links")
@@ -78,6 +80,8 @@ def link(stars: DataFrame, verify: Callable, mates: Callable, large: int, prune:
         mains = durable(sides.where("label_a <> label_b").select("label_a").distinct(), "open-groups")
         own = durable(sides.select("label_a", F.col("a").alias("node")).union(sides.select("label_a", "b")).distinct(), "of-groups")
         rows = _still_open(sized_join(own, mains, "label_a", "left_semi").select(F.xxhash64("label_a").alias("bucket"), "node").distinct(), labels)
+    elif members is not None:
+        rows = _still_open(members(apart), labels)
     else:
         buckets = durable(sized_join(stars.select("bucket", F.struct("a", "b").alias("pair")), apart, "pair", "left_semi").select("bucket").distinct(), "open-buckets")
         rows = _still_open(sized_join(stars, buckets, "bucket", "left_semi").select("bucket", F.col("b").alias("node")), labels)
