@@ -223,7 +223,7 @@ def _pack(parts: int, most: int, keys_of=line_keys):
 
     Rows come in the order of their places. A bucket is hot if ``most`` lines that are packed together, or more, are in it.
     A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base,
-    and go with a byte for the line's length and two of its digest.
+    and go with a byte for the line's length and three of its digest.
     """
 
     def flush(held):
@@ -237,9 +237,9 @@ def _pack(parts: int, most: int, keys_of=line_keys):
         # parts are ranges of keys; within its part a bucket is 32 bits, of which only these are sent
         key = ((key >> 32) + (1 << 31)) * parts >> 32 << 32 | key & LOW
         order = np.argsort(key)
-        # with a place, the line's length, and two bytes of its digest, by which equal lines of other tasks are told
+        # with a place, the line's length, and three bytes of its digest, by which equal lines of other tasks are told
         length = np.minimum(np.log(np.maximum(pa.compute.utf8_length(normal).to_numpy(), 1)) / STEP, 255).astype(np.int64)
-        mark = (place - base) | length << 24 | (table.column("node").to_numpy() & 0xFFFF) << 32
+        mark = (place - base) | length << 24 | (table.column("node").to_numpy() & 0xFFFFFF) << 32
         key, member = key[order], mark[line[order]]
         first = np.flatnonzero(changes(key))
         size = np.diff(np.append(first, len(key)))
@@ -259,7 +259,7 @@ def _pack(parts: int, most: int, keys_of=line_keys):
 
     def spread(base, part, key, member, shared):
         edges = np.append(np.flatnonzero(changes(part)), len(part)).tolist()
-        places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
+        places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :7]
         if shared is None:
             return [(int(part[a]), base, key[a:b].tobytes(), places[a:b].tobytes(), b"") for a, b in zip(edges, edges[1:])]
         low = key.view(np.uint8).reshape(-1, 8)[:, :4]
@@ -292,9 +292,9 @@ def _unpack(key, table, least: float = SIMILARITY):
     """
     hot = np.frombuffer(b"".join(table.column("hot").to_pylist()), np.int64)
     places, part = b"".join(table.column("places").to_pylist()), key[0].as_py()
-    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 6
-    wide = np.zeros((len(places) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(places, np.uint8).reshape(-1, 6)
+    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 7
+    wide = np.zeros((len(places) // 7, 8), np.uint8)
+    wide[:, :7] = np.frombuffer(places, np.uint8).reshape(-1, 7)
     mark = wide.view("<i8").ravel()
     place = (mark & 0xFFFFFF) + np.repeat(table.column("base").to_numpy(), sizes)
     keys = b"".join(table.column("keys").to_pylist())
@@ -302,7 +302,7 @@ def _unpack(key, table, least: float = SIMILARITY):
         keys = np.frombuffer(keys, np.int64)
         return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(place)], ["bucket", "a", "b"])
     keys = np.frombuffer(keys, "<u4").astype(np.int64) | part << 32
-    # of equal lines the first stands for all; unlike lines of a bucket and a length are taken for equal with probability 2**-16
+    # of equal lines the first stands for all; unlike lines of a bucket and a length are taken for equal with probability 2**-24
     order = np.lexsort((place, mark >> 24, keys))
     keys, place, mark = keys[order], place[order], mark[order] >> 24
     kept = changes(keys, mark)
