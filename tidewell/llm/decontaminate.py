@@ -76,7 +76,8 @@ def shingle_filter(grams: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _passes(filter_words: np.ndarray, grams: np.ndarray) -> np.ndarray:
+def passes(filter_words: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which 64-bit words a filter of ``shingle_filter`` may hold."""
     mask = np.uint64(64 * len(filter_words) - 1)
     ok = np.ones(len(grams), bool)
     for slot in (grams & mask, (grams >> np.uint64(32)) & mask):
@@ -92,7 +93,7 @@ def _stretches(batch: pa.RecordBatch, filter_words: np.ndarray, lengths: list[in
         found = []
         for k in lengths:
             grams, number = shingles(hashes, counts, k, short=False)
-            hit = np.flatnonzero(_passes(filter_words, grams))
+            hit = np.flatnonzero(passes(filter_words, grams))
             row = np.searchsorted(np.cumsum(number), hit, "right")
             found.append((row, hit - (np.cumsum(number) - number)[row], grams[hit].view(np.int64)))
         row, pos, gram = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))

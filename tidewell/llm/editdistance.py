@@ -1,10 +1,12 @@
 """Whether pairs of texts are within an edit distance, many pairs at a time.
 
-Myers' bit vectors, a public method: a column of the distance table is two bits a row, and a step of 64 rows is a few
-word operations. Pairs with as many words take their steps together as arrays; the longest pairs take theirs one by
-one on Python's integers. What both texts of a pair begin and end with is left out. Pairs that can no longer come within
-their limit drop out early. Before that, words that both texts hold once, in the same order, are put over each other: if
-rewriting all that differs between them stays within the limit, the distance does too. Distances count code points.
+Myers' bit vectors, a public method, in a band: with the longer text downwards, a way of ``most`` edits or fewer stays on
+diagonals that leave enough edits to come back from, ``most`` + 1 of them at most, and only these are kept. A column
+of the band is two bits a row, and it moves down a row with each letter of the shorter text. Distances along the diagonal that
+ends in the last cell never shrink, so a pair is done once they are over its limit. Pairs of about the same numbers of
+words of 64 rows take their steps together as arrays, few or very long ones one by one on Python's integers. Before
+long texts are compared, words that both hold once, in the same order, are put over each other: if rewriting
+all that differs between them stays within the limit, the distance does too. Distances count code points.
 """
 
 from __future__ import annotations
@@ -14,12 +16,14 @@ from bisect import bisect_left
 import numpy as np
 
 _ONE, _U = np.uint64(1), np.uint64
-#: Words of 64 rows up to which pairs go together, and pairs that do so at a time; fewer than ``FEW`` for each four words go one by one.
+#: Words of 64 rows of a band up to which pairs go together, and pairs that do so at a time; fewer than ``FEW`` for each four words go one by one.
 WORDS, TOGETHER, FEW = 16, 2048, 24
-#: Pairs of these numbers of words or fewer, down to the number before, go together.
+#: Bands of these numbers of words or fewer, down to the number before, go together.
 _CLASSES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
+#: Bytes of the letters' places, and letters, that go together at most, but for one pair's.
+PLACES, LETTERS = 1 << 25, 1 << 21
 #: Code points from which on words are compared first.
-LONG = 40
+LONG = 1280
 
 
 def _once(words: list[str]) -> dict[str, int]:
@@ -77,112 +81,129 @@ def _trimmed(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _one(x: list[int], y: list[int], most: int) -> bool:
-    size = len(x)
+    """For a text x that is as long as y or longer."""
+    apart = len(x) - len(y)
+    above = (most - apart) // 2
     places: dict[int, int] = {}
     for i, c in enumerate(x):
-        places[c] = places.get(c, 0) | 1 << i
-    full, last = (1 << size) - 1, 1 << (size - 1)
-    more, less, distance, left = full, 0, size, len(y)
-    for c in y:
-        equal = places.get(c, 0)
+        places[c] = places.get(c, 0) | 1 << (i + above)
+    full, end = (1 << (most + 1)) - 1, 1 << (apart + above)
+    more, less, distance = full >> above << above, 0, apart
+    for j, c in enumerate(y):
+        equal = places.get(c, 0) >> j & full
         diagonal = ((((equal & more) + more) ^ more) | equal | less) & full
+        if not diagonal & end:
+            distance += 1
+            if distance > most:
+                return False
         up = less | (full ^ (diagonal | more))
         down = more & diagonal
-        left -= 1
-        if up & last:
-            distance += 1
-        elif down & last:
-            distance -= 1
-        if distance - left > most:
-            return False
-        up = (up << 1 | 1) & full
-        more = (down << 1 & full) | (full ^ (diagonal | up))
-        less = up & diagonal
+        diagonal >>= 1
+        more, less = down | (full ^ (diagonal | up)), diagonal & up
     return distance <= most
 
 
-def _together(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray, n_words: int) -> np.ndarray:
-    """For pairs whose shorter texts fill up to ``n_words`` words each."""
-    n = len(pairs)
-    xs, ys = np.array([len(x) for x, _ in pairs]), np.array([len(y) for _, y in pairs])
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _together(a: list[str], b: list[str], most: np.ndarray, n_words: int) -> np.ndarray:
+    """For texts a that are as long as b or longer, none of them empty, whose bands fill up to ``n_words`` words each."""
+    n = len(a)
+    xs, ys = np.array([len(t) for t in a]), np.array([len(t) for t in b])
+    x, y = _codes(a), _codes(b)
+    known = np.zeros(int(max(x.max(), y.max())) + 1, bool)
+    known[x] = known[y] = True
+    letter_of, letters_n = np.cumsum(known) - 1, int(known.sum())
+    apart = xs - ys
+    above = (most - apart) // 2
     row = np.repeat(np.arange(n), xs)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(xs) - xs, xs)
-    own, code = np.unique(row.astype(np.int64) << 32 | np.concatenate([x for x, _ in pairs]), return_inverse=True)
-    masks = np.zeros((n_words, len(own) + 1), np.uint64)  # the last is of letters that the shorter text lacks
-    np.add.at(masks, (place >> 6, code), _ONE << (place & 63).astype(np.uint64))
-    letters = np.full((int(ys.max()), n), len(own), np.int32)
-    key = np.repeat(np.arange(n), ys).astype(np.int64) << 32 | np.concatenate([y for _, y in pairs])
-    at = np.minimum(np.searchsorted(own, key), len(own) - 1)
-    column = np.arange(len(key)) - np.repeat(np.cumsum(ys) - ys, ys)
-    letters[column, np.repeat(np.arange(n), ys)] = np.where(own[at] == key, at, len(own))
-    more, less = np.full((n_words, n), ~_U(0)), np.zeros((n_words, n), np.uint64)
-    last, at_word = ((xs - 1) & 63).astype(np.uint64), (xs - 1) >> 6
-    lowest = int(at_word.min())
-    distance, alive, out = xs.astype(np.int64), np.arange(n), np.zeros(n, bool)
+    place = np.arange(len(x)) - np.repeat(np.cumsum(xs) - xs - above, xs)
+    longest = int(ys.max())
+    high = max((longest - 1 >> 6) + n_words, int(place.max()) >> 6) + 1
+    # the last letter stands behind the shorter texts' ends and is equal to all
+    masks = np.zeros((high, n * letters_n + 1), np.uint64)
+    np.add.at(masks.reshape(-1), (place >> 6) * masks.shape[1] + row * letters_n + letter_of[x], _ONE << (place & 63).astype(np.uint64))
+    masks[:, -1] = ~_U(0)
+    letters = np.full((longest, n), n * letters_n)
+    row = np.repeat(np.arange(n), ys)
+    letters[np.arange(len(y)) - np.repeat(np.cumsum(ys) - ys, ys), row] = row * letters_n + letter_of[y]
+    # vertical differences of 1 below the first row, none above
+    start = above[None, :] - 64 * np.arange(n_words)[:, None]
+    more = np.where(start < 64, ~_U(0) << np.clip(start, 0, 63).astype(np.uint64), _U(0))
+    less = np.zeros((n_words, n), np.uint64)
+    end = apart + above
+    at_word, at_bit = end >> 6, (end & 63).astype(np.uint64)
+    alive, out, kept = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
+    at = at_word * n + alive
     top = _U(63)
-    for step in range(len(letters)):
+    for step in range(longest):
         if step & 15 == 0 and step:
-            left = ys - step
-            on = (distance - np.maximum(left, 0) <= most) & (left > 0)
+            # each step but those that kept the diagonal's distance has added one
+            within = apart + step - kept <= most
+            on = within & (ys > step)
             if on.sum() < 0.8 * len(on):
-                out[alive[(left <= 0) & (distance <= most)]] = True
-                alive, ys, most, last, at_word, distance = alive[on], ys[on], most[on], last[on], at_word[on], distance[on]
-                letters, more, less = letters[:, on], more[:, on], less[:, on]
+                out[alive[within & (ys <= step)]] = True
+                alive, ys, most, apart, kept, at_word, at_bit = alive[on], ys[on], most[on], apart[on], kept[on], at_word[on], at_bit[on]
+                more, less = more[:, on], less[:, on]
+                at = at_word * len(alive) + np.arange(len(alive))
                 if not len(alive):
-                    break
-        letter = letters[step]
-        plus, minus = np.ones(len(alive), np.uint64), np.zeros(len(alive), np.uint64)
-        for w in range(n_words):
-            equal, p, m = masks[w][letter], more[w], less[w]
-            across = equal | m
-            equal = equal | minus
-            diagonal = (((equal & p) + p) ^ p) | equal
-            up = m | ~(diagonal | p)
-            down = p & diagonal
-            if w >= lowest:
-                moved = ((up >> last) & _ONE).view(np.int64) - ((down >> last) & _ONE).view(np.int64)
-                distance += moved * ((step < ys) & (at_word == w))
-            raised, lowered = up >> top, down >> top
-            up = (up << _ONE) | plus
-            down = (down << _ONE) | minus
-            more[w] = down | ~(across | up)
-            less[w] = up & across
-            plus, minus = raised, lowered
-    out[alive[distance <= most]] = True
+                    return out
+        letter = letters[step][alive]
+        word, shift = step >> 6, _U(step & 63)
+        equal = masks[word : word + n_words + 1].take(letter, axis=1)
+        equal = equal[:-1] >> shift | equal[1:] << (_U(64) - shift) if shift else equal[:-1]
+        if n_words == 1:
+            diagonal = (((equal & more) + more) ^ more) | equal | less
+            down = more & diagonal
+            below = diagonal >> _ONE
+        else:
+            diagonal, down = np.empty_like(more), np.empty_like(more)
+            for w in range(n_words):
+                one = equal[w] if not w else equal[w] | down[w - 1] >> top
+                diagonal[w] = (((one & more[w]) + more[w]) ^ more[w]) | one | less[w]
+                down[w] = more[w] & diagonal[w]
+            below = diagonal >> _ONE
+            below[:-1] |= diagonal[1:] << top
+        kept += (diagonal.reshape(-1).take(at) >> at_bit & _ONE).view(np.int64)
+        up = less | ~(diagonal | more)
+        more, less = down | ~(below | up), below & up
+    out[alive[apart + longest - kept <= most]] = True
     return out
 
 
 def within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
     """Whether the Levenshtein distance of each a and b is ``most`` or less."""
-    out = np.zeros(len(a), bool)
-    pairs, todo = [], []
-    for i, (s, t) in enumerate(zip(a, b)):
-        if abs(len(s) - len(t)) > most[i]:
-            continue
-        if len(s) >= LONG and _rewritten(s, t, int(most[i])):
-            out[i] = True
-            continue
-        x, y = _trimmed(s, t)
-        if len(x) and len(y) > most[i]:
-            pairs.append((x, y))
-            todo.append(i)
-        else:
-            out[i] = len(y) <= most[i]
-    todo = np.array(todo, np.int64)
-    n_words = np.array([(len(x) + 63) >> 6 for x, _ in pairs], np.int64)
+    x, y = [s if len(s) >= len(t) else t for s, t in zip(a, b)], [t if len(s) >= len(t) else s for s, t in zip(a, b)]
+    longer, shorter = np.array([len(s) for s in x], np.int64), np.array([len(t) for t in y], np.int64)
+    most = np.minimum(np.asarray(most, np.int64), longer)
+    out = most >= longer
+    todo = np.flatnonzero((longer - shorter <= most) & ~out)
+    quick = [i for i in todo[longer[todo] >= LONG].tolist() if _rewritten(x[i], y[i], int(most[i]))]
+    out[quick] = True
+    todo = todo[~out[todo]]
+    n_words = most[todo] // 64 + 1
     # of the longer ones each number of words is its own class
     n_words = np.where(n_words <= WORDS, _CLASSES[np.minimum(np.searchsorted(_CLASSES, n_words), len(_CLASSES) - 1)], n_words)
-    order = np.lexsort(([len(y) for _, y in pairs], n_words))
-    edges = np.append(np.flatnonzero(np.diff(n_words[order], prepend=-1)), len(order)).tolist()
+    order = np.lexsort((shorter[todo], n_words))
+    todo, n_words = todo[order], n_words[order]
+    edges = np.append(np.flatnonzero(np.diff(n_words, prepend=-1)), len(todo)).tolist()
     for lo, hi in zip(edges, edges[1:]):
-        words = int(n_words[order[lo]])
-        for at in range(lo, hi, TOGETHER):
-            chosen = order[at : min(hi, at + TOGETHER)]
+        words = int(n_words[lo])
+        while lo < hi:
+            chosen = todo[lo : min(hi, lo + TOGETHER)]
+            # about as many as have room, by the letters of the first texts
+            letters = 1 + len(set("".join(x[i] for i in chosen[:64].tolist())))
+            room = min(PLACES // (letters * (int(longer[chosen].max()) // 64 + 2 * words + 1) * 8), LETTERS // int(shorter[chosen].max() + 1))
+            chosen = chosen[: max(room, 1)]
+            lo += len(chosen)
             if words <= WORDS and 4 * len(chosen) >= FEW * (words + 3):
-                out[todo[chosen]] = _together([pairs[i] for i in chosen.tolist()], np.asarray(most)[todo[chosen]], words)
+                own = chosen.tolist()
+                out[chosen] = _together([x[i] for i in own], [y[i] for i in own], most[chosen], words)
             else:
                 for i in chosen.tolist():
-                    out[todo[i]] = _one(pairs[i][0].tolist(), pairs[i][1].tolist(), int(most[todo[i]]))
+                    s, t = _trimmed(y[i], x[i])
+                    out[i] = _one(t.tolist(), s.tolist(), int(most[i]))
     return out
 
 

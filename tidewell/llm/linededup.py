@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from .common import _IS_WORD, _LOWER, changes, durable, fresh, lists, map_arrow, mix, prepare, row_slices, seeded, shingles, sized_join, span_hashes, text_slices, utf8, whole_groups, words
+from .decontaminate import passes, shingle_filter
 from .editdistance import similar
 from .linking import link, starred, with_homes
 
@@ -55,12 +56,12 @@ _FACTORS = seeded(BANDS * ROWS, 6) | np.uint64(1)
 _FINE_FACTORS = seeded(FINE_BANDS * FINE_ROWS, 7) | np.uint64(1)
 #: Members of a bucket up to which they are compared in one task; larger buckets are dealt out in blocks.
 LARGE = 1000
-#: Lines whose bucket keys a task packs at a time.
-PACKED = 1 << 14
+#: Lines whose bucket keys a task packs at a time, and bytes of them whose keys are worked out together.
+PACKED, KEYED = 1 << 14, 1 << 19
 #: Bytes of texts that are compared at a time, and pairs of these, but for one bucket's.
 COMPARED, PAIRS = 4 << 20, 1 << 20
-#: Code points of the runs whose counts rule pairs out, and counters a line.
-TRIPLE, COUNTERS = 3, 2048
+#: Code points of the runs whose counts rule pairs out, counters a line, and code points from which on that is cheaper than to compare.
+TRIPLE, COUNTERS, EXTENDED = 3, 2048, 1280
 #: Pairs that a task remembers as not alike.
 REMEMBERED = 1 << 20
 #: Bucket keys in a part, about; and the bits of a bucket within its part.
@@ -69,8 +70,9 @@ PART, LOW = 1 << 19, (1 << 32) - 1
 STEP = 0.0625
 #: Code points whose runs are counted at a time.
 BLOCK = 1 << 20
-#: A nibble as four lanes of 16 bits, so that four counters are summed in one word.
-_LANES = np.array([sum(((n >> b) & 1) << (16 * b) for b in range(4)) for n in range(16)], np.uint64)
+#: A byte as eight lanes of 8 bits, so that eight counters are summed in one word.
+_LANES = np.array([sum(((n >> b) & 1) << (8 * b) for b in range(8)) for n in range(256)], np.uint64)
+_BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
 
 def line_offsets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,16 +92,19 @@ def simhash(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Of each group of feature hashes, the word whose bits are set where more than half of the features' are."""
     ends = np.cumsum(counts)
     out = np.zeros(len(counts), np.uint64)
-    for nibble in range(16):
-        sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(_LANES[((hashes >> np.uint64(4 * nibble)) & np.uint64(15)).astype(np.int64)], out=sums[1:])
-        lanes = sums[ends] - sums[ends - counts]  # exact while a line has under 65536 features
-        for b in range(4):
-            ones = (lanes >> np.uint64(16 * b)) & np.uint64(0xFFFF)
-            out |= (2 * ones > counts.astype(np.uint64)).astype(np.uint64) << np.uint64(4 * nibble + b)
-    for i in np.flatnonzero(counts >= 1 << 16).tolist():
-        own = hashes[ends[i] - counts[i] : ends[i]]
-        out[i] = sum(1 << b for b in range(64) if 2 * int(((own >> np.uint64(b)) & np.uint64(1)).sum()) > len(own))
+    some = np.flatnonzero(counts)
+    if not len(some):
+        return out
+    raw, number = hashes.astype("<u8").view(np.uint8).reshape(-1, 8), counts[some].astype(np.uint64)
+    for k in range(8):
+        lanes = np.add.reduceat(_LANES[raw[:, k]], ends[some] - counts[some])  # exact while a line has under 256 features
+        for b in range(8):
+            ones = (lanes >> np.uint64(8 * b)) & np.uint64(0xFF)
+            out[some] |= (2 * ones > number).astype(np.uint64) << np.uint64(8 * k + b)
+    for i in np.flatnonzero(counts >= 256).tolist():
+        own = raw[ends[i] - counts[i] : ends[i]]
+        ones = np.concatenate([np.bincount(own[:, k], minlength=256) @ _BITS for k in range(8)])
+        out[i] = sum(1 << b for b, n in enumerate(ones.tolist()) if 2 * n > len(own))
     return out
 
 
@@ -186,7 +191,7 @@ def line_keys(normal: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(key, line) of all buckets of lines, by their normal forms."""
     raw, at = utf8(normal)
     keys, lines = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, j in row_slices(at):
+    for i, j in row_slices(at, KEYED):
         piece, edges = raw[at[i] : at[j]], at[i : j + 1] - at[i]
         hashes, begin, end, counts = words(piece, edges)
         grams, number = shingles(hashes, counts, 2)
@@ -202,6 +207,11 @@ def line_keys(normal: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(lines)
 
 
+def _held(batch: pa.RecordBatch, filter_words: np.ndarray):
+    """The rows whose node, the first column, passes a filter."""
+    yield batch.filter(pa.array(passes(filter_words, batch.column(0).to_numpy().view(np.uint64))))
+
+
 def _with_digest(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest"))
 
@@ -219,11 +229,12 @@ def bucket_keys(sim: np.ndarray, band: np.ndarray, lengths: np.ndarray) -> tuple
 
 
 def _pack(parts: int, most: int, keys_of=line_keys):
-    """Rows (part, base, keys, places, hot): the bucket keys of a task's lines, dealt by key; the lines of a hot bucket by line.
+    """Rows (part, base, keys, places, hot, n): n bucket keys of a task's lines, dealt by key; the lines of a hot bucket by line.
 
     Rows come in the order of their places. A bucket is hot if ``most`` lines that are packed together, or more, are in it.
     A part of its lines is negative. The bucket's own part gets its key, as hot, and its first line. Places are three bytes above the base,
-    and go with a byte for the line's length and three of its digest.
+    and go with a byte for the line's length and three of its digest. Keys of a part ascend and are sent as differences; keys and places are
+    compressed byte by byte of all of them, as the upper ones say little.
     """
 
     def flush(held):
@@ -255,15 +266,15 @@ def _pack(parts: int, most: int, keys_of=line_keys):
         else:
             shared = np.zeros(len(key), bool)
         rows += spread(base, key >> 32, key, member, shared)
-        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["part", "base", "keys", "places", "hot"])
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))], ["part", "base", "keys", "places", "hot", "n"])
 
     def spread(base, part, key, member, shared):
         edges = np.append(np.flatnonzero(changes(part)), len(part)).tolist()
         places = member.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :7]
         if shared is None:
-            return [(int(part[a]), base, key[a:b].tobytes(), places[a:b].tobytes(), b"") for a, b in zip(edges, edges[1:])]
-        low = key.view(np.uint8).reshape(-1, 8)[:, :4]
-        return [(int(part[a]), base, low[a:b].tobytes(), places[a:b].tobytes(), key[a:b][shared[a:b]].tobytes()) for a, b in zip(edges, edges[1:])]
+            return [(int(part[a]), base, _squeezed(key[a:b]), _squeezed(places[a:b]), b"", b - a) for a, b in zip(edges, edges[1:])]
+        low = (key & LOW).astype("<u4")
+        return [(int(part[a]), base, _squeezed(np.diff(low[a:b], prepend=low[:1] * 0)), _squeezed(places[a:b]), key[a:b][shared[a:b]].tobytes(), b - a) for a, b in zip(edges, edges[1:])]
 
     def run(batches):
         held, n, start = [], 0, 0
@@ -285,32 +296,54 @@ def _pack(parts: int, most: int, keys_of=line_keys):
     return run
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers, or rows of bytes, all first bytes first, compressed."""
+    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _widened(data: bytes, n: int, width: int) -> np.ndarray:
+    """The n rows of ``width`` bytes that _squeezed has compressed."""
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(data, decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T)
+
+
+def _alone(keys: np.ndarray) -> np.ndarray:
+    """Which of ascending keys stand once."""
+    new = changes(keys)
+    return new & np.append(new[1:], True)[: len(new)]
+
+
 def _unpack(key, table, least: float = SIMILARITY):
     """(bucket, first place, place) for the lines of buckets of two or more; (bucket, null, place) for those of hot buckets.
 
     A bucket is cut in two where its lines' lengths leave a gap that no alike pair has.
     """
     hot = np.frombuffer(b"".join(table.column("hot").to_pylist()), np.int64)
-    places, part = b"".join(table.column("places").to_pylist()), key[0].as_py()
-    sizes = np.asarray(pa.compute.binary_length(table.column("places"))) // 7
-    wide = np.zeros((len(places) // 7, 8), np.uint8)
-    wide[:, :7] = np.frombuffer(places, np.uint8).reshape(-1, 7)
+    part, each = key[0].as_py(), table.column("n").to_pylist()
+    wide = np.zeros((sum(each), 8), np.uint8)
+    wide[:, :7] = np.concatenate([_widened(x, n, 7) for x, n in zip(table.column("places").to_pylist(), each)])
     mark = wide.view("<i8").ravel()
-    place = (mark & 0xFFFFFF) + np.repeat(table.column("base").to_numpy(), sizes)
-    keys = b"".join(table.column("keys").to_pylist())
+    place = (mark & 0xFFFFFF) + np.repeat(table.column("base").to_numpy(), each)
+    width = 8 if part < 0 else 4
+    keys = [_widened(x, n, width).view(f"<u{width}").ravel() for x, n in zip(table.column("keys").to_pylist(), each)]
     if part < 0:
-        keys = np.frombuffer(keys, np.int64)
+        keys = np.concatenate(keys).view(np.int64)
         return pa.Table.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64()), pa.array(place)], ["bucket", "a", "b"])
-    keys = np.frombuffer(keys, "<u4").astype(np.int64) | part << 32
+    # a word holds a bucket's 32 bits, then a line's digest and length
+    word = np.concatenate([np.cumsum(k, dtype=np.uint64) for k in keys]) << np.uint64(32) | (mark >> 24).view(np.uint64)
+    order = np.argsort(word)
+    word = word[order]
+    hot = np.unique(hot) & LOW
+    lit = np.isin(word >> np.uint64(32), hot.view(np.uint64)) if len(hot) else np.zeros(len(word), bool)
+    # nearly all buckets have one line, and go before the rest is looked at
+    kept = ~_alone(word >> np.uint64(32)) | lit
+    word, place, lit = word[kept], place[order[kept]], lit[kept]
     # of equal lines the first stands for all; unlike lines of a bucket and a length are taken for equal with probability 2**-24
-    order = np.lexsort((place, mark >> 24, keys))
-    keys, place, mark = keys[order], place[order], mark[order] >> 24
-    kept = changes(keys, mark)
-    keys, place, mark = keys[kept], place[kept], mark[kept]
-    alone = changes(keys)
-    alone &= np.append(alone[1:], True)[: len(alone)]
-    lit = np.isin(keys, hot)
-    keys, place, mark, lit = (c[~alone | lit] for c in (keys, place, mark, lit))
+    first = np.flatnonzero(changes(word))
+    place = np.minimum.reduceat(place, first) if len(word) else place
+    word, lit = word[first], lit[first]
+    kept = ~_alone(word >> np.uint64(32)) | lit
+    place, lit = place[kept], lit[kept]
+    keys, mark = (word[kept] >> np.uint64(32)).view(np.int64) | part << 32, (word[kept] & np.uint64(LOW)).view(np.int64)
     length = np.where(lit, 0, mark & 0xFF)
     order = np.lexsort((place, length, keys))
     keys, place, length, lit = (c[order] for c in (keys, place, length, lit))
@@ -340,7 +373,7 @@ def _linked(batches, least: float):
         a, b, x, y = (pa.concat_arrays([h.column(i) for h in held]) for i in range(4))
         texts = pa.concat_arrays([x, y]).dictionary_encode()
         own, place = texts.dictionary.to_pylist(), texts.indices.to_numpy().reshape(2, -1)
-        keep = plausible(own, *place, least)
+        keep = worth(own, np.array([len(t) for t in own], np.int64), *place, least)
         keep = pa.array(keep[similar([own[i] for i in place[0][keep].tolist()], [own[i] for i in place[1][keep].tolist()], least)])
         return pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
@@ -408,6 +441,17 @@ def plausible(text: list[str], a: np.ndarray, b: np.ndarray, least: float) -> np
     return kept[in_place(text, a[kept], b[kept], least)]
 
 
+def worth(text: list[str], size: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of lines of these sizes to compare: long ones must be plausible, of others the comparison costs no more than to ask."""
+    long = np.maximum(size[a], size[b]) >= EXTENDED
+    kept = ~long
+    some = np.flatnonzero(long)
+    if len(some):
+        used, place = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
+        kept[some[plausible([text[i] for i in used.tolist()], place[: len(some)], place[len(some) :], least)]] = True
+    return np.flatnonzero(kept)
+
+
 def placed_runs(text: str) -> np.ndarray:
     """Sorted words of the hash and the place of each run of ``TRIPLE`` code points."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -472,7 +516,8 @@ class Apart:
         return self.keys[np.minimum(at, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
 
     def add(self, keys: np.ndarray) -> None:
-        self.keys = np.unique(np.concatenate([self.keys, keys] if len(self.keys) + len(keys) <= self.most else [keys[-self.most :]]))
+        keys = np.sort(np.concatenate([self.keys, keys] if len(self.keys) + len(keys) <= self.most else [keys[-self.most :]]), kind="stable")
+        self.keys = keys[changes(keys)]
 
 
 def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.ndarray, group: np.ndarray, least: float, names: np.ndarray, apart: Apart) -> list[tuple[int, int]]:
@@ -485,15 +530,15 @@ def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.nda
     pair = mix(names[a].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + mix(names[b].view(np.uint64))
     new = ~apart.has(pair)
     a, b, pair = a[new], b[new], pair[new]
-    kept = plausible(text, a, b, least)
+    kept = worth(text, size, a, b, least)
     a, b, pair = a[kept], b[kept], pair[kept]
-    groups, links = Groups(), []
-    step = 512
+    groups, links, unlike = Groups(), [], [pair[:0]]
+    step = 2048
     while len(a):
         # in small steps at first, as what they join need not be compared any more, but enough at a time to go together
         x, y = a[:step].tolist(), b[:step].tolist()
         alike = similar([text[i] for i in x], [text[i] for i in y], least)
-        apart.add(pair[:step][~alike])
+        unlike.append(pair[:step][~alike])
         for i in np.flatnonzero(alike).tolist():
             u, v = groups.of(int(group[x[i]])), groups.of(int(group[y[i]]))
             if u != v:
@@ -504,6 +549,7 @@ def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.nda
         open_ = root[a] != root[b]
         a, b, pair = a[open_], b[open_], pair[open_]
         step = min(2 * step, 1 << 14)
+    apart.add(np.concatenate(unlike))
     return links
 
 
@@ -560,7 +606,7 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * (len(MASKS) + BANDS) // PART)
     # a part that gets one key from every flush stays as small as others
     hot = max(2, PART // (2 * (n // PACKED + parts)))
-    packed = seen.where("normal is not null").select("place", "node", "normal").mapInArrow(_pack(parts, hot), "part int, base bigint, keys binary, places binary, hot binary")
+    packed = seen.where("normal is not null").select("place", "node", "normal").mapInArrow(_pack(parts, hot), "part int, base bigint, keys binary, places binary, hot binary, n int")
     stars = durable(packed.groupBy("part").applyInArrow(lambda key, table: _unpack(key, table, least), "bucket bigint, a bigint, b bigint"), "stars")
     common = durable(stars.where("a is null").select("bucket", F.col("b").alias("node")).distinct(), "hot-members")
     if common.limit(1).count():
@@ -571,11 +617,14 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     known = durable(sized_join(seen.where("normal is not null").select("place", "node"), known, "place", "left_semi", skewed=False), "wanted-nodes")
     named = pairs.select(F.struct("a", "b").alias("at"), "a", "b")
     for c in ("a", "b"):
-        named = sized_join(named, known.toDF(c, f"{c}_node"), c)
+        named = sized_join(named, known.toDF(c, f"{c}_node"), c, skewed=c == "a")
     named = durable(named.select("at", F.col("a_node").alias("a"), F.col("b_node").alias("b")).where("a <> b"), "pairs")
     wanted = durable(known.select("node").distinct(), "wanted-lines")
     # nodes are 64 bits of a line's digest; should two candidates share one, the least stands for it and the other stays as it is
-    texts = sized_join(seen.where("normal is not null").select("node", "normal", "line"), wanted, "node", "left_semi")
+    # a filter of bounded size keeps most others' texts out of the shuffle
+    sent = spark.sparkContext.broadcast(shingle_filter(wanted.select(F.col("node").alias("gram"))))
+    texts = map_arrow(seen.where("normal is not null").select("node", "normal", "line"), lambda batch: _held(batch, sent.value), "node bigint, normal string, line binary")
+    texts = sized_join(texts, wanted, "node", "left_semi", skewed=False)
     texts = durable(texts.groupBy("node").agg(F.min(F.struct("normal", "line")).alias("m")).select("node", "m.normal", "m.line"), "line-texts")
 
     # texts count by their bytes where it is asked whether they can be broadcast
@@ -586,7 +635,8 @@ def line_groups(documents: DataFrame, least: float = SIMILARITY, large: int = LA
     def verify(pairs: DataFrame) -> DataFrame:
         sides = pairs.repartition(tasks, "a", "b")
         for c, name in (("a", "x"), ("b", "y")):
-            sides = sized_join(sides, texts.select(F.col("node").alias(c), F.col("normal").alias(name)), c, cost=1 + F.length(name) / 64)
+            # the first of many buckets' lines is an a in all of them; a b is one in each of its own at most
+            sides = sized_join(sides, texts.select(F.col("node").alias(c), F.col("normal").alias(name)), c, cost=1 + F.length(name) / 64, skewed=c == "a")
         return sides.select("a", "b", "x", "y").mapInArrow(lambda batches: _linked(batches, least), "a bigint, b bigint")
 
     def mates(rows: DataFrame) -> DataFrame:
