@@ -20,8 +20,8 @@ _ONE, _U = np.uint64(1), np.uint64
 WORDS, TOGETHER, FEW = 16, 2048, 24
 #: Bands of these numbers of words or fewer, down to the number before, go together.
 _CLASSES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
-#: Bytes of the letters' places, and letters, that go together at most, but for one pair's.
-PLACES, LETTERS = 1 << 25, 1 << 21
+#: Bytes of the letters' places that are held at most, but for one pair's.
+PLACES = 1 << 25
 #: Code points from which on words are compared first.
 LONG = 1280
 
@@ -103,31 +103,38 @@ def _one(x: list[int], y: list[int], most: int) -> bool:
     return distance <= most
 
 
-def _codes(texts: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """The letters of all texts as small numbers, each text's followed by the number of letters; where texts begin; that number."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    known[codes] = True
+    n, size = int(known.sum()), np.array([len(t) for t in texts], np.int64)
+    flat = np.full(len(codes) + len(texts), n)
+    flat[np.arange(len(codes)) + np.repeat(np.arange(len(texts)), size)] = (np.cumsum(known) - 1)[codes]
+    return flat, np.cumsum(size + 1) - size - 1, n
 
 
-def _together(a: list[str], b: list[str], most: np.ndarray, n_words: int) -> np.ndarray:
-    """For texts a that are as long as b or longer, none of them empty, whose bands fill up to ``n_words`` words each."""
-    n = len(a)
-    xs, ys = np.array([len(t) for t in a]), np.array([len(t) for t in b])
-    x, y = _codes(a), _codes(b)
-    known = np.zeros(int(max(x.max(), y.max())) + 1, bool)
-    known[x] = known[y] = True
-    letter_of, letters_n = np.cumsum(known) - 1, int(known.sum())
+def _together(flat: np.ndarray, first: np.ndarray, n_letters: int, x: np.ndarray, y: np.ndarray, xs: np.ndarray, ys: np.ndarray, most: np.ndarray, n_words: int) -> np.ndarray:
+    """For pairs of texts x that are as long as y or longer, by their numbers and lengths, none of them empty, whose bands fill up to ``n_words`` words each."""
+    n = len(x)
     apart = xs - ys
     above = (most - apart) // 2
-    row = np.repeat(np.arange(n), xs)
-    place = np.arange(len(x)) - np.repeat(np.cumsum(xs) - xs - above, xs)
-    longest = int(ys.max())
-    high = max((longest - 1 >> 6) + n_words, int(place.max()) >> 6) + 1
-    # the last letter stands behind the shorter texts' ends and is equal to all
-    masks = np.zeros((high, n * letters_n + 1), np.uint64)
-    np.add.at(masks.reshape(-1), (place >> 6) * masks.shape[1] + row * letters_n + letter_of[x], _ONE << (place & 63).astype(np.uint64))
-    masks[:, -1] = ~_U(0)
-    letters = np.full((longest, n), n * letters_n)
-    row = np.repeat(np.arange(n), ys)
-    letters[np.arange(len(y)) - np.repeat(np.cumsum(ys) - ys, ys), row] = row * letters_n + letter_of[y]
+    own, at_own, mine = np.unique(x, return_index=True, return_inverse=True)
+    size = xs[at_own]
+    row = np.repeat(np.arange(len(own)), size)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    letter = flat[first[own][row] + place]
+    # letters of the shorter texts that the longer ones lack are equal to none, and what stands behind their ends is to all
+    held = np.zeros(n_letters, bool)
+    held[letter] = True
+    some = int(held.sum())
+    of = np.append(np.where(held, np.cumsum(held) - 1, some), some + 1)
+    front = (int(above.max()) >> 6) + 1
+    high = front + (int(xs.max()) >> 6) + n_words + 2
+    places = np.zeros((len(own), some + 2, high), np.uint64)
+    places[:, some + 1] = ~_U(0)
+    np.add.at(places.reshape(-1), (row * (some + 2) + of[letter]) * high + (place >> 6) + front, _ONE << (place & 63).astype(np.uint64))
+    places, of = places.reshape(-1), of * high
     # vertical differences of 1 below the first row, none above
     start = above[None, :] - 64 * np.arange(n_words)[:, None]
     more = np.where(start < 64, ~_U(0) << np.clip(start, 0, 63).astype(np.uint64), _U(0))
@@ -136,7 +143,9 @@ def _together(a: list[str], b: list[str], most: np.ndarray, n_words: int) -> np.
     at_word, at_bit = end >> 6, (end & 63).astype(np.uint64)
     alive, out, kept = np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64)
     at = at_word * n + alive
-    top = _U(63)
+    # where a pair's letters and the word that its band begins in stand
+    begin, base, bit = first[y], mine * ((some + 2) * high), 64 * front - above
+    nth, top, longest = np.arange(n_words + 1)[:, None], _U(63), int(ys.max())
     for step in range(longest):
         if step & 15 == 0 and step:
             # each step but those that kept the diagonal's distance has added one
@@ -144,15 +153,16 @@ def _together(a: list[str], b: list[str], most: np.ndarray, n_words: int) -> np.
             on = within & (ys > step)
             if on.sum() < 0.8 * len(on):
                 out[alive[within & (ys <= step)]] = True
-                alive, ys, most, apart, kept, at_word, at_bit = alive[on], ys[on], most[on], apart[on], kept[on], at_word[on], at_bit[on]
+                alive, ys, most, apart, kept, at_word, at_bit, begin, base, bit = (c[on] for c in (alive, ys, most, apart, kept, at_word, at_bit, begin, base, bit))
                 more, less = more[:, on], less[:, on]
                 at = at_word * len(alive) + np.arange(len(alive))
                 if not len(alive):
                     return out
-        letter = letters[step][alive]
-        word, shift = step >> 6, _U(step & 63)
-        equal = masks[word : word + n_words + 1].take(letter, axis=1)
-        equal = equal[:-1] >> shift | equal[1:] << (_U(64) - shift) if shift else equal[:-1]
+        down_to = bit + step
+        word = base + of.take(flat.take(begin + np.minimum(ys, step))) + (down_to >> 6)
+        shift = (down_to & 63).view(np.uint64)
+        equal = places.take(word + nth)
+        equal = equal[:-1] >> shift | equal[1:] << _ONE << (top - shift)
         if n_words == 1:
             diagonal = (((equal & more) + more) ^ more) | equal | less
             down = more & diagonal
@@ -174,35 +184,39 @@ def _together(a: list[str], b: list[str], most: np.ndarray, n_words: int) -> np.
 
 def within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
     """Whether the Levenshtein distance of each a and b is ``most`` or less."""
-    x, y = [s if len(s) >= len(t) else t for s, t in zip(a, b)], [t if len(s) >= len(t) else s for s, t in zip(a, b)]
-    longer, shorter = np.array([len(s) for s in x], np.int64), np.array([len(t) for t in y], np.int64)
+    number: dict[str, int] = {}
+    x, y = (np.array([number.setdefault(t, len(number)) for t in side], np.int64) for side in (a, b))
+    texts = list(number)
+    size = np.array([len(t) for t in texts], np.int64)
+    x, y = np.where(size[x] < size[y], y, x), np.where(size[x] < size[y], x, y)
+    longer, shorter = size[x], size[y]
     most = np.minimum(np.asarray(most, np.int64), longer)
     out = most >= longer
     todo = np.flatnonzero((longer - shorter <= most) & ~out)
-    quick = [i for i in todo[longer[todo] >= LONG].tolist() if _rewritten(x[i], y[i], int(most[i]))]
+    quick = [i for i in todo[longer[todo] >= LONG].tolist() if _rewritten(texts[x[i]], texts[y[i]], int(most[i]))]
     out[quick] = True
     todo = todo[~out[todo]]
     n_words = most[todo] // 64 + 1
     # of the longer ones each number of words is its own class
     n_words = np.where(n_words <= WORDS, _CLASSES[np.minimum(np.searchsorted(_CLASSES, n_words), len(_CLASSES) - 1)], n_words)
-    order = np.lexsort((shorter[todo], n_words))
+    # pairs of one longer text stand together, as its letters' places are worked out once
+    order = np.lexsort((x[todo], longer[todo], n_words))
     todo, n_words = todo[order], n_words[order]
+    flat, first, n_letters = _letters(texts)
     edges = np.append(np.flatnonzero(np.diff(n_words, prepend=-1)), len(todo)).tolist()
     for lo, hi in zip(edges, edges[1:]):
         words = int(n_words[lo])
         while lo < hi:
             chosen = todo[lo : min(hi, lo + TOGETHER)]
             # about as many as have room, by the letters of the first texts
-            letters = 1 + len(set("".join(x[i] for i in chosen[:64].tolist())))
-            room = min(PLACES // (letters * (int(longer[chosen].max()) // 64 + 2 * words + 1) * 8), LETTERS // int(shorter[chosen].max() + 1))
-            chosen = chosen[: max(room, 1)]
+            letters = 2 + len(set("".join(texts[i] for i in x[chosen[:64]].tolist())))
+            chosen = chosen[: max(PLACES // (letters * (int(longer[chosen].max()) // 64 + 2 * words + 3) * 8), 1)]
             lo += len(chosen)
             if words <= WORDS and 4 * len(chosen) >= FEW * (words + 3):
-                own = chosen.tolist()
-                out[chosen] = _together([x[i] for i in own], [y[i] for i in own], most[chosen], words)
+                out[chosen] = _together(flat, first, n_letters, x[chosen], y[chosen], longer[chosen], shorter[chosen], most[chosen], words)
             else:
                 for i in chosen.tolist():
-                    s, t = _trimmed(y[i], x[i])
+                    s, t = _trimmed(texts[y[i]], texts[x[i]])
                     out[i] = _one(t.tolist(), s.tolist(), int(most[i]))
     return out
 

@@ -533,7 +533,7 @@ def compared(text: list[str], line: np.ndarray, bucket: np.ndarray, side: np.nda
     kept = worth(text, size, a, b, least)
     a, b, pair = a[kept], b[kept], pair[kept]
     groups, links, unlike = Groups(), [], [pair[:0]]
-    step = 2048
+    step = 1 << 13
     while len(a):
         # in small steps at first, as what they join need not be compared any more, but enough at a time to go together
         x, y = a[:step].tolist(), b[:step].tolist()
