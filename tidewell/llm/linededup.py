@@ -18,9 +18,9 @@ single characters changed all over can still be missed (see README).
 How it runs: one pass over the texts writes a row for each line. A second one over those rows deals bucket keys out
 in packed arrays, so that buckets with one line, nearly all of them, are dropped by sorting arrays. A bucket that is
 hot in a task is dealt by line instead. Other buckets are cut where lengths leave a gap that no alike pair has. Bucket mates are compared as in linking, without all pairs of a group and
-whatever the size of a bucket. Before edit distances are worked out, pairs are ruled out by lengths, by counts of their runs of
-``TRIPLE`` code points and by how many of these stand at about the same places; no alike pair is. Lines are told apart by the MD5 of their
-normal form.
+whatever the size of a bucket. Before edit distances of lines of ``EXTENDED`` code points or more are worked out, pairs are ruled out by
+lengths, by counts of their runs of ``TRIPLE`` code points and by how many of these stand at about the same places; no alike pair is. Lines
+are told apart by the MD5 of their normal form.
 
 Edge cases: lines without words always stay; null texts have no lines and stay null. Rows of equal id and text are one
 document and come out alike. Null ids come last in the order. Lines may be of any length. Columns other than doc_id
