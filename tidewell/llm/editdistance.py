@@ -21,7 +21,7 @@ WORDS, TOGETHER, FEW = 16, 2048, 24
 #: Bands of these numbers of words or fewer, down to the number before, go together.
 _CLASSES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 #: Bytes of the letters' places that are held at most, but for one pair's.
-PLACES = 1 << 25
+PLACES = 1 << 24
 #: Code points from which on words are compared first.
 LONG = 1280
 
@@ -109,8 +109,7 @@ def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
     known = np.zeros(int(codes.max(initial=0)) + 1, bool)
     known[codes] = True
     n, size = int(known.sum()), np.array([len(t) for t in texts], np.int64)
-    flat = np.full(len(codes) + len(texts), n)
-    flat[np.arange(len(codes)) + np.repeat(np.arange(len(texts)), size)] = (np.cumsum(known) - 1)[codes]
+    flat = np.insert((np.cumsum(known) - 1).astype(np.int32)[codes], np.cumsum(size), n)
     return flat, np.cumsum(size + 1) - size - 1, n
 
 

@@ -385,6 +385,7 @@ def _linked(batches, least: float):
         if size > COMPARED or rows > 1 << 14:
             yield flush(held)
             held, size, rows = [], 0, 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield flush(held)
 
